@@ -61,13 +61,7 @@ def safe_long_id(c) -> Column:
 
     A direct ``try_cast('17850.0' as bigint)`` is NULL, hence the two steps.
     """
-    return F.expr(f"try_cast({_expr_name(c)} AS DOUBLE)").cast("bigint")
-
-
-def _expr_name(c) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("pass a column name")
+    return _c(c).try_cast("double").try_cast("bigint")
 
 
 def binarize(c) -> Column:

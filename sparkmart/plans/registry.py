@@ -20,6 +20,7 @@ _COVERS: dict[str, tuple[str, ...]] = {}
 
 PLAN_MODULES = (
     "sparkmart.plans.retail",
+    "sparkmart.plans.ingestion",
 )
 
 
