@@ -21,6 +21,8 @@ _COVERS: dict[str, tuple[str, ...]] = {}
 PLAN_MODULES = (
     "sparkmart.plans.retail",
     "sparkmart.plans.ingestion",
+    "sparkmart.plans.cleaning",
+    "sparkmart.plans.reports",
 )
 
 
