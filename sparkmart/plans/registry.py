@@ -23,6 +23,7 @@ PLAN_MODULES = (
     "sparkmart.plans.ingestion",
     "sparkmart.plans.cleaning",
     "sparkmart.plans.reports",
+    "sparkmart.plans.timeseries",
 )
 
 
