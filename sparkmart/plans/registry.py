@@ -24,6 +24,7 @@ PLAN_MODULES = (
     "sparkmart.plans.cleaning",
     "sparkmart.plans.reports",
     "sparkmart.plans.timeseries",
+    "sparkmart.plans.basket",
 )
 
 
