@@ -25,6 +25,7 @@ PLAN_MODULES = (
     "sparkmart.plans.reports",
     "sparkmart.plans.timeseries",
     "sparkmart.plans.basket",
+    "sparkmart.plans.segments",
 )
 
 

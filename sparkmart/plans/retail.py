@@ -7,8 +7,7 @@ from sparkmart.plans.registry import register
 from sparkmart.plans.sqltext import cents, days, hu, hu2, with_fact
 from sparkmart.sources.tables import transaction_fact
 
-_RFM_SQL = with_fact(
-    extra_ctes=f"""
+_RFM_CTES = f"""
 known AS (SELECT * FROM fact WHERE CustomerID <> 0),
 per_inv AS (
   SELECT CustomerID, InvoiceNo, sum(total_spend) AS inv_spend,
@@ -45,20 +44,22 @@ per_month AS (
 mon AS (
   SELECT CustomerID, {hu2('100 * sum(m_inv)', 'count(*)')} AS freq_per_month,
          {hu2('sum(m_mean_micro)', 'count(*) * 10000')} AS mean_spent_per_month
-  FROM per_month GROUP BY CustomerID)
-""",
-    body="""
+  FROM per_month GROUP BY CustomerID),
+profile AS (
 SELECT r.CustomerID, CAST(r.recency AS INTEGER) AS recency, CAST(t.frequency AS BIGINT) AS frequency,
        CAST(t.spend AS DOUBLE) AS monetary,
        CAST(CASE WHEN t.frequency = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_first_time_buyer,
-       CASE WHEN r.nc > 0 THEN """ + hu2("100 * r.sc", "r.nc") + """ ELSE CAST(r.recency AS DOUBLE) END
+       CASE WHEN r.nc > 0 THEN {hu2("100 * r.sc", "r.nc")} ELSE CAST(r.recency AS DOUBLE) END
          AS mean_time_interval,
-       """ + hu2(cents("t.spend"), "t.frequency") + """ AS mean_ticket_size,
-       """ + hu2("100 * t.qty", "t.frequency") + """ AS mean_quantity,
-       """ + hu2("100 * t.items", "t.frequency") + """ AS mean_unique_item,
+       {hu2(cents("t.spend"), "t.frequency")} AS mean_ticket_size,
+       {hu2("100 * t.qty", "t.frequency")} AS mean_quantity,
+       {hu2("100 * t.items", "t.frequency")} AS mean_unique_item,
        m.freq_per_month, m.mean_spent_per_month
-FROM rec r JOIN tot t ON r.CustomerID = t.CustomerID JOIN mon m ON r.CustomerID = m.CustomerID
-""")
+FROM rec r JOIN tot t ON r.CustomerID = t.CustomerID JOIN mon m ON r.CustomerID = m.CustomerID)"""
+
+# Profile as reusable CTEs (``profile``) for the oracles built on top of it.
+RFM_CTES = _RFM_CTES
+_RFM_SQL = with_fact(extra_ctes=RFM_CTES, body="SELECT * FROM profile")
 
 
 @register("rfm_profile", oracle=_RFM_SQL,
