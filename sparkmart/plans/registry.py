@@ -26,6 +26,7 @@ PLAN_MODULES = (
     "sparkmart.plans.timeseries",
     "sparkmart.plans.basket",
     "sparkmart.plans.segments",
+    "sparkmart.plans.pages",
 )
 
 
