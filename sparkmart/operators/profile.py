@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.columns import money
+from sparkmart.operators.quantiles import exact_quantiles
 
 # Non-product stock codes excluded from basket analysis.
 NON_PRODUCT_CODES = ("DOT", "POST", "M", "BANK CHARGES", "D", "CRUK", "B", "S")
@@ -23,19 +24,27 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Count, mean, std (sample), min, exact quartiles, max per column,
-    in one aggregate; output one row per column.  ``percentile`` is exact
-    (linear interpolation), matching a pandas ``describe``."""
+    """Count, mean, std (sample), min, exact quartiles, max per column;
+    output one row per column.  Moments come from one aggregate, quartiles
+    from the distributed exact quantile (linear interpolation, as pandas)."""
     aggs = []
+    types = dict(df.dtypes)
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+        t = types[c]
+        if t.startswith("decimal") or t in ("int", "bigint", "smallint", "tinyint"):
+            # exact mean for exact types: decimal average, rounded half up below
+            scale = int(t.split(",")[1].rstrip(")")) if t.startswith("decimal") else 0
+            mean = F.avg(F.col(c).cast(f"decimal(38,{max(scale, 2)})"))
+        else:
+            mean = F.avg(x)
+        aggs += [F.count(x).alias(f"{c}__count"), mean.alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
+    qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).select(*[F.col(c).alias(f"{c}__q") for c in cols])
+    wide = df.agg(*aggs).crossJoin(qs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"),
-                     F.round(F.col(f"{c}__mean"), digits).alias("mean"),
+                     F.round(F.col(f"{c}__mean"), digits).cast("double").alias("mean"),
                      F.round(F.col(f"{c}__std"), digits).alias("std"),
                      F.col(f"{c}__min").alias("min"),
                      F.round(F.col(f"{c}__q")[0], digits).alias("q25"),
@@ -119,7 +128,7 @@ def row_counts(df: DataFrame) -> DataFrame:
 def iqr_fence(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """drop rows at or beyond Q1 - k·IQR / Q3 + k·IQR (exact quartiles).
     The bounds are one aggregate row, broadcast to every partition (J9)."""
-    q = df.agg(F.percentile(F.col(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
+    q = exact_quantiles(df, [col], [0.25, 0.75]).select(F.col(col).alias("_q"))
     b = q.select((F.col("_q")[0] - k * (F.col("_q")[1] - F.col("_q")[0])).alias("_lo"),
                  (F.col("_q")[1] + k * (F.col("_q")[1] - F.col("_q")[0])).alias("_hi"))
     x = F.col(col)

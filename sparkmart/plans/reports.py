@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.operators import profile
 from sparkmart.plans.registry import register
-from sparkmart.plans.sqltext import with_fact
+from sparkmart.plans.sqltext import hu, with_fact
 from sparkmart.sources.bronze import RAW_SQL, raw_invoices
 from sparkmart.sources.tables import table, transaction_fact
 
@@ -28,12 +28,20 @@ def null_profile(spark, sf_dir):
     return profile.null_profile(transaction_fact(spark, sf_dir))
 
 
+_EXACT_MEAN = {  # exact half-up mean at 6 places for exact (decimal / integer) columns
+    "Quantity": "CAST(" + hu("CAST(sum(Quantity) AS HUGEINT) * 1000000", "count(Quantity)") + " AS DOUBLE) / 1e6",
+    "total_spend": "CAST(" + hu("CAST(sum(total_spend) * 100 AS HUGEINT) * 10000", "count(total_spend)")
+                   + " AS DOUBLE) / 1e6",
+}
+
+
 def _describe_sql(cols):
     parts = []
     for c in cols:
         x = f"CAST({c} AS DOUBLE)"
+        mean = _EXACT_MEAN.get(c, f"round(avg({x}), 6)")
         parts.append(
-            f"SELECT '{c}' AS \"column\", count({x}) AS count, round(avg({x}), 6) AS mean, "
+            f"SELECT '{c}' AS \"column\", count({x}) AS count, {mean} AS mean, "
             f"round(stddev_samp({x}), 6) AS std, min({x}) AS min, "
             f"round(quantile_cont({x}, 0.25), 6) AS q25, round(quantile_cont({x}, 0.5), 6) AS q50, "
             f"round(quantile_cont({x}, 0.75), 6) AS q75, max({x}) AS max FROM fact")

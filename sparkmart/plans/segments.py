@@ -8,6 +8,7 @@ from sparkmart.operators import interpret, rfm, segment
 from sparkmart.plans.registry import register
 from sparkmart.plans.retail import RFM_CTES
 from sparkmart.plans.sqltext import with_fact
+from sparkmart.session import reliable_checkpoint
 from sparkmart.sources.tables import table, transaction_fact
 
 FEATS = segment.FEATURES
@@ -45,7 +46,7 @@ _K1_SQL = with_fact(extra_ctes=_scaled_cte(),
 
 @register("single_cluster_inertia", oracle=_K1_SQL, covers=("A15",))
 def single_cluster_inertia(spark, sf_dir):
-    sc = segment.robust_scale(_profile(spark, sf_dir))
+    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
     return segment.single_cluster_inertia(sc).select(F.round("inertia", 4).alias("inertia"))
 
 
@@ -73,7 +74,7 @@ def label_agreement_metrics(spark, sf_dir):
 
 
 def _segment_scores(spark, sf_dir):
-    sc = segment.robust_scale(_profile(spark, sf_dir))
+    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
     seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"),
                                                   F.col("c_mktsegment").alias("segment"))
     j = sc.join(seg, "CustomerID")
@@ -104,7 +105,7 @@ def segment_feature_ranks(spark, sf_dir):
 
 @register("kmeans_inertia_sweep", covers=("M3", "M4", "A15"))
 def kmeans_inertia_sweep(spark, sf_dir):
-    sc = segment.robust_scale(_profile(spark, sf_dir)).checkpoint()
+    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
     inertia = segment.inertia_sweep(sc)
     k = segment.find_optimal_k(inertia)
     return spark.createDataFrame([(i + 1, float(v), i + 1 == k) for i, v in enumerate(inertia)],
@@ -113,21 +114,21 @@ def kmeans_inertia_sweep(spark, sf_dir):
 
 @register("customer_segments", covers=("M1", "M3", "M4", "M5", "M14"))
 def customer_segments(spark, sf_dir):
-    prof = _profile(spark, sf_dir).checkpoint()
+    prof = reliable_checkpoint(_profile(spark, sf_dir))
     out, _, _, _ = segment.segment_customers(prof)
     return out
 
 
 @register("cluster_importance", covers=("M7", "M8", "M9", "M10", "M11", "M12", "M13", "M14", "M17", "U2"))
 def cluster_importance(spark, sf_dir):
-    prof = _profile(spark, sf_dir).checkpoint()
+    prof = reliable_checkpoint(_profile(spark, sf_dir))
     labelled, _, _, _ = segment.segment_customers(prof)
-    labelled = labelled.checkpoint()
+    labelled = reliable_checkpoint(labelled)
     res = interpret.interpret_clusters(labelled, n_draws=3, folds=3, n_repeats=5)
     return res["top"]
 
 
 @register("silhouette_scores", covers=("M6",))
 def silhouette_scores(spark, sf_dir):
-    sc = segment.robust_scale(_profile(spark, sf_dir)).checkpoint()
+    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
     return spark.createDataFrame(segment.silhouette(sc, (4, 6, 8)), "k int, silhouette double")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,9 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable (shared-folder) checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing a parquet table into the shared checkpoint
+    folder and reading it back.
+
+    Unlike ``Dataset.checkpoint`` (which, without a cache, computes the plan
+    once to count and again to save, and stores Java-serialised rows) this
+    computes the plan once and stores it columnar.  The folder is the one the
+    cluster names in ``spark.checkpoint.dir``, so the table survives the loss
+    of any executor."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/sparkmart-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
