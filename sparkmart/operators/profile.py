@@ -187,3 +187,25 @@ def head_tail(df: DataFrame, order: list[str], n: int, tail: bool = False) -> Da
 def schema_listing(df: DataFrame) -> dict[str, str]:
     """Column name → type (metadata only; no data is read)."""
     return dict(df.dtypes)
+
+
+def keep_first_last(df: DataFrame, key: str, order: list[str], keep: str = "first") -> DataFrame:
+    """One row per ``key`` — the first (or last) in ``order``.  An
+    aggregate (``min_by`` / ``max_by`` over a struct), so a hot key is
+    combined map-side instead of windowed in one task."""
+    others = [c for c in df.columns if c != key]
+    ordering = F.struct(*[F.col(c) for c in order])
+    pick = F.min_by if keep == "first" else F.max_by
+    row = pick(F.struct(*[F.col(c) for c in others]), ordering).alias("_row")
+    return df.groupBy(key).agg(row).select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
+
+
+def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """a unique (not consecutive, not stable across re-partitioning) id;
+    use ``sequence.dense_index`` when a reproducible 0..n-1 id is needed."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def drop_incomplete(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """rows with a NULL in any (of the given) columns removed."""
+    return df.na.drop("any", subset=cols)

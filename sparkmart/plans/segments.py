@@ -132,3 +132,12 @@ def cluster_importance(spark, sf_dir):
 def silhouette_scores(spark, sf_dir):
     sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
     return spark.createDataFrame(segment.silhouette(sc, (4, 6, 8)), "k int, silhouette double")
+
+
+@register("surrogate_models", covers=("M15", "M16", "M9"))
+def surrogate_models(spark, sf_dir):
+    """Tree and one-vs-rest boosted surrogates of the customer clusters."""
+    prof = reliable_checkpoint(_profile(spark, sf_dir))
+    labelled, _, _, _ = segment.segment_customers(prof)
+    labelled = reliable_checkpoint(labelled)
+    return interpret.surrogate_report(labelled, n_draws=2, folds=2)

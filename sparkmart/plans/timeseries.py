@@ -173,3 +173,22 @@ _PIVOT_SQL = with_fact(body="SELECT CAST(f.InvoiceDate AS DATE) AS InvoiceDate,
 def daily_segment_pivot(spark, sf_dir):
     """Invoices per day and customer segment, one column per segment."""
     return series.pivot_counts(_segment_fact(spark, sf_dir), "c_mktsegment", SEGMENTS, prefix="segment_")
+
+
+@register("lag_cv_scores", covers=("M21", "M22", "W6", "W8", "W12", "F14"))
+def lag_cv_scores(spark, sf_dir):
+    """Decision-tree and GBT regressors on lag features, expanding folds."""
+    from sparkmart.operators import forecast
+    from sparkmart.session import reliable_checkpoint
+    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty"))
+    return forecast.lag_cross_validation(daily, "total_qty", lag_sets=((3,), (6,), (3, 6, 9, 12)),
+                                         kinds=("tree", "gbt"), n_splits=5)
+
+
+@register("forecast_scores", covers=("M23", "M24", "W13"))
+def forecast_scores(spark, sf_dir):
+    """Final GBT on lags 3..12 vs the train-mean baseline on the last 20 % of days."""
+    from sparkmart.operators import forecast
+    from sparkmart.session import reliable_checkpoint
+    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty"))
+    return forecast.fit_and_score(daily, "total_qty", [3, 6, 9, 12], {"maxDepth": 4, "maxIter": 20})
