@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 FORMAT_ALIASES = {"txt": "text", "csv": "csv", "json": "json", "parquet": "parquet", "text": "text", "orc": "orc"}
 
 
-def read_data(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,
+def read_data(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | str | None = None,
               options: dict | None = None) -> DataFrame:
     """Schema-applied read.  CSV defaults to header=true; pass
     ``{"encoding": "windows-1252"}`` for legacy files.  ``txt`` reads lines
@@ -27,8 +27,11 @@ def read_data(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struct
     return r.load(path)
 
 
-def read_legacy_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """S3: CSV written in the cp1252 code page."""
+def read_legacy_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """S3: CSV written in the cp1252 code page.  Spark 4 only accepts the
+    Unicode / Latin-1 charsets unless the JVM charset table is enabled;
+    windows-1252 differs from Latin-1 in 0x80-0x9F (€, curly quotes)."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     return read_data(spark, path, "csv", schema, {"encoding": "windows-1252"})
 
 

@@ -12,6 +12,8 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from sparkmart.session import get_session
-    s = get_session("local[*]", shuffle_partitions=8)
+    import tempfile
+    s = get_session("local[*]", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sparkmart-wh-")})
     yield s
     s.stop()
