@@ -34,6 +34,8 @@ def typed(c: Column, spark_type: str) -> Column:
     (``"17850.0"``, ``"1.5"``) truncates like a float → int conversion.
     """
     if spark_type in _INTEGRAL:
+        # one route for "23", "1.5" and "17850.0": a failed try_cast is costly
+        # per row, so we do not try the integer cast first
         return c.try_cast("decimal(38,10)").try_cast(spark_type)
     if spark_type == "boolean":
         return F.lower(c).try_cast("boolean")

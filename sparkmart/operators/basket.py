@@ -37,12 +37,16 @@ def baskets(fact: DataFrame, item: str = "Description", basket: str = "InvoiceNo
 
 def frequent_itemsets(baskets_df: DataFrame, min_support: float = 0.03) -> DataFrame:
     """(items, freq, support, n_items) for every itemset with support ≥ min_support."""
+    from sparkmart.session import reliable_checkpoint
+    baskets_df = reliable_checkpoint(baskets_df.select("items"))  # read by the count and the FP-tree passes
     n = baskets_df.agg(F.count(F.lit(1)).alias("_n"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets_df)
     fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long"))
-    return (fi.crossJoin(F.broadcast(n))
-              .select("items", "freq", (F.col("freq") / F.col("_n")).alias("support"),
-                      F.size("items").alias("n_items")))
+    # the mined itemsets are a lazy, uncached result: write them once so rule
+    # generation (which reads them three times) does not mine three times
+    return reliable_checkpoint(
+        fi.crossJoin(F.broadcast(n))
+          .select("items", "freq", (F.col("freq") / F.col("_n")).alias("support"), F.size("items").alias("n_items")))
 
 
 def association_rules(itemsets: DataFrame, min_lift: float = 1.0, digits: int = 6) -> DataFrame:

@@ -15,6 +15,7 @@ third of the data.  Instead we
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +34,18 @@ def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = IDX,
     the counts table has one row per partition.
     """
     n = num_partitions or shuffle_partitions(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = reliable_checkpoint(ranged)
+    # the range exchange first runs a sampling job over its input and then
+    # the exchange itself: keep the input for those two passes only, so its
+    # lineage is computed once; the written result no longer needs it
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = (src.repartitionByRange(n, *order_cols)
+                     .sortWithinPartitions(*order_cols)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_pos", F.monotonically_increasing_id()))
+        ranged = reliable_checkpoint(ranged)
+    finally:
+        src.unpersist()
     # position inside the partition = id minus the partition's id base
     ranged = ranged.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -15,7 +15,9 @@ FEATS = segment.FEATURES
 
 
 def _profile(spark, sf_dir):
-    return rfm.customer_profile(transaction_fact(spark, sf_dir))
+    """The customer profile, written once: every query here reads it several
+    times (quantile ranking, scaling, joins) and it is small next to the fact."""
+    return reliable_checkpoint(rfm.customer_profile(transaction_fact(spark, sf_dir)))
 
 
 def _scaled_cte():
@@ -46,7 +48,7 @@ _K1_SQL = with_fact(extra_ctes=_scaled_cte(),
 
 @register("single_cluster_inertia", oracle=_K1_SQL, covers=("A15",))
 def single_cluster_inertia(spark, sf_dir):
-    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
+    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir)))
     return segment.single_cluster_inertia(sc).select(F.round("inertia", 4).alias("inertia"))
 
 
@@ -74,7 +76,7 @@ def label_agreement_metrics(spark, sf_dir):
 
 
 def _segment_scores(spark, sf_dir):
-    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
+    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir)))
     seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"),
                                                   F.col("c_mktsegment").alias("segment"))
     j = sc.join(seg, "CustomerID")
@@ -105,7 +107,7 @@ def segment_feature_ranks(spark, sf_dir):
 
 @register("kmeans_inertia_sweep", covers=("M3", "M4", "A15"))
 def kmeans_inertia_sweep(spark, sf_dir):
-    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
+    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir)))
     inertia = segment.inertia_sweep(sc)
     k = segment.find_optimal_k(inertia)
     return spark.createDataFrame([(i + 1, float(v), i + 1 == k) for i, v in enumerate(inertia)],
@@ -114,14 +116,14 @@ def kmeans_inertia_sweep(spark, sf_dir):
 
 @register("customer_segments", covers=("M1", "M3", "M4", "M5", "M14"))
 def customer_segments(spark, sf_dir):
-    prof = reliable_checkpoint(_profile(spark, sf_dir))
+    prof = _profile(spark, sf_dir)
     out, _, _, _ = segment.segment_customers(prof)
     return out
 
 
 @register("cluster_importance", covers=("M7", "M8", "M9", "M10", "M11", "M12", "M13", "M14", "M17", "U2"))
 def cluster_importance(spark, sf_dir):
-    prof = reliable_checkpoint(_profile(spark, sf_dir))
+    prof = _profile(spark, sf_dir)
     labelled, _, _, _ = segment.segment_customers(prof)
     labelled = reliable_checkpoint(labelled)
     res = interpret.interpret_clusters(labelled, n_draws=3, folds=3, n_repeats=5)
@@ -130,14 +132,14 @@ def cluster_importance(spark, sf_dir):
 
 @register("silhouette_scores", covers=("M6",))
 def silhouette_scores(spark, sf_dir):
-    sc = reliable_checkpoint(segment.robust_scale(reliable_checkpoint(_profile(spark, sf_dir))))
+    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir)))
     return spark.createDataFrame(segment.silhouette(sc, (4, 6, 8)), "k int, silhouette double")
 
 
 @register("surrogate_models", covers=("M15", "M16", "M9"))
 def surrogate_models(spark, sf_dir):
     """Tree and one-vs-rest boosted surrogates of the customer clusters."""
-    prof = reliable_checkpoint(_profile(spark, sf_dir))
+    prof = _profile(spark, sf_dir)
     labelled, _, _, _ = segment.segment_customers(prof)
     labelled = reliable_checkpoint(labelled)
     return interpret.surrogate_report(labelled, n_draws=2, folds=2)
