@@ -22,7 +22,42 @@ NATION_ROW_BOUND = 256
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+SPREAD_MIN_BYTES_PER_SPLIT = 4 << 20
+
+
+def _input_bytes(df: DataFrame) -> int:
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread_scan(df: DataFrame, min_splits: int | None = None,
+                min_bytes_per_split: int = SPREAD_MIN_BYTES_PER_SPLIT) -> DataFrame:
+    """Spread a scan whose few, large input splits would starve the cores.
+
+    A parquet file is split by row group; a table stored as one file with one
+    row group is read by ONE task, and everything fused onto the scan (joins
+    against broadcast dimensions, partial aggregates) runs on one core.  When
+    a scan has fewer splits than the default parallelism AND its splits are
+    large (≥ ``min_bytes_per_split`` each), it gets one round-robin
+    repartition; column pruning and filters are still pushed below it into
+    the scan.  Small dimensions (broadcast anyway) and any table already
+    stored in many splits — every real 100 TB table — are returned unchanged,
+    with no shuffle.
+    """
+    want = min_splits or df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    if n >= want:
+        return df
+    return df.repartition(want) if _input_bytes(df) / max(n, 1) >= min_bytes_per_split else df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
