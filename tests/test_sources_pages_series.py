@@ -153,3 +153,24 @@ def test_union_and_pivot(spark):
          for r in series.pivot_counts(u, "cluster", [0, 1, 2]).collect()}
     assert p == {1: (1, 1, 0), 2: (0, 1, 0)}
     assert decimal.Decimal("1") == 1
+
+
+def test_series_key_partitions(spark):
+    rows = [("A", dt.datetime(2024, 1, d), 1, "X", "p", decimal.Decimal(d)) for d in range(1, 6)]
+    rows += [("B", dt.datetime(2024, 1, d), 2, "Y", "q", decimal.Decimal(10 * d)) for d in range(1, 4)]
+    fact = spark.createDataFrame([(c, t, i * 100 + t.day, s, dsc, 1, 1.0, v) for c, t, i, s, dsc, v in rows],
+                                 "Country string, InvoiceDate timestamp, InvoiceNo long, StockCode string, "
+                                 "Description string, Quantity int, UnitPrice double, total_spend decimal(18,2)")
+    daily = series.daily_series(fact, ["Country"])
+    assert daily.count() == 8
+    lag = series.add_lags(daily.select("Country", series.DAY, "all_sales"), {"all_sales": [1]}, ["Country"])
+    firsts = lag.filter(F.col("all_sales_lag1").isNull()).select("Country").collect()
+    assert sorted(r.Country for r in firsts) == ["A", "B"]  # each series starts fresh
+    folds = series.time_series_folds(daily, 2, ["Country"])
+    assert folds.select("Country").distinct().count() == 2
+
+
+def test_schema_listing(spark):
+    from sparkmart.sources.tables import table
+    types = profile.schema_listing(table(spark, "/root/testdata/sf0.001", "orders"))
+    assert types["o_orderkey"] == "bigint" and types["o_orderdate"] == "timestamp_ntz"
