@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
-SPREAD_MIN_BYTES_PER_SPLIT = 4 << 20
+SPREAD_MIN_BYTES_PER_SPLIT = 1 << 20
 
 
 def _input_bytes(df: DataFrame) -> int:

@@ -174,3 +174,17 @@ def test_schema_listing(spark):
     from sparkmart.sources.tables import table
     types = profile.schema_listing(table(spark, "/root/testdata/sf0.001", "orders"))
     assert types["o_orderkey"] == "bigint" and types["o_orderdate"] == "timestamp_ntz"
+
+
+def test_bucketed_table_avoids_shuffle(spark):
+    import contextlib
+    import io
+    name = "sm_bucketed_" + os.path.basename(_tmp("bk")).replace("-", "_")
+    df = spark.range(0, 2000).select((F.col("id") % 37).alias("CustomerID"), F.col("id").alias("v"))
+    writers.write_bucketed(df, name, 8, ["CustomerID"])
+    agg = spark.table(name).groupBy("CustomerID").agg(F.sum("v").alias("s"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        agg.explain()
+    assert "Exchange" not in buf.getvalue()
+    assert agg.count() == 37
