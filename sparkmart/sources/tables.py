@@ -22,7 +22,29 @@ NATION_ROW_BOUND = 256
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spread_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path, _modified(spark, path))
+    known = _SCAN_CACHE.get(key)
+    if known is None:
+        df = spark.read.parquet(path)
+        known = _SCAN_CACHE[key] = (df.schema, _spread_to(df))
+    schema, spread = known
+    # an explicit schema skips parquet schema inference, which reads the
+    # footers in a Spark job on every read
+    df = spark.read.schema(schema).parquet(path)
+    return df.repartition(spread) if spread else df
+
+
+# (application, path, modification time) -> (schema, spread partition count or
+# 0).  Opening a table is then free of driver-side jobs after the first time;
+# a rewritten table has a new modification time and is inspected again.
+_SCAN_CACHE: dict[tuple, tuple] = {}
+
+
+def _modified(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
 
 
 SPREAD_MIN_BYTES_PER_SPLIT = 1 << 20
@@ -53,11 +75,18 @@ def spread_scan(df: DataFrame, min_splits: int | None = None,
     stored in many splits — every real 100 TB table — are returned unchanged,
     with no shuffle.
     """
+    want = _spread_to(df, min_splits, min_bytes_per_split)
+    return df.repartition(want) if want else df
+
+
+def _spread_to(df: DataFrame, min_splits: int | None = None,
+               min_bytes_per_split: int = SPREAD_MIN_BYTES_PER_SPLIT) -> int:
+    """Partition count ``spread_scan`` spreads to, or 0 to leave the scan."""
     want = min_splits or df.sparkSession.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
     if n >= want:
-        return df
-    return df.repartition(want) if _input_bytes(df) / max(n, 1) >= min_bytes_per_split else df
+        return 0
+    return want if _input_bytes(df) / max(n, 1) >= min_bytes_per_split else 0
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
