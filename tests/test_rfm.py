@@ -51,6 +51,29 @@ def test_profile_edge_cases(spark):
     assert compat[1].is_first_time_buyer == 0
 
 
+def test_profile_invoice_across_months(spark):
+    """The profile rolls invoices and months up from one (customer, invoice,
+    month, stock code) table: a stock code bought in two months of one
+    invoice still counts once for the invoice, and the invoice counts in
+    both months."""
+    import decimal as D
+    m = lambda x: D.Decimal(str(x))
+    jan, feb = dt.datetime(2024, 1, 31, 23), dt.datetime(2024, 2, 1, 1)
+    rows = [
+        (1, "A", "a", 2, jan, 1.0, 7, "X", m(2.00)),
+        (1, "A", "a", 1, feb, 1.0, 7, "X", m(1.00)),
+        (1, "B", "b", 3, feb, 1.0, 7, "X", m(3.00)),
+        (2, "A", "a", 1, dt.datetime(2024, 2, 10), 1.0, 7, "X", m(4.00)),
+    ]
+    got = customer_profile(_fact(spark, rows)).collect()[0]
+    assert got.frequency == 2 and got.monetary == 10.0
+    # invoice 1 has distinct codes {A, B}; invoice 2 has {A}
+    assert got.mean_unique_item == 1.5
+    assert got.mean_quantity == 3.5 and got.mean_ticket_size == 5.0
+    # January: 1 invoice, mean line 2.00; February: 2 invoices, mean (1+3+4)/3
+    assert got.freq_per_month == 1.5
+    assert got.mean_spent_per_month == round((2.0 + 8 / 3) / 2, 2)
+
 def test_dense_index_is_consecutive(spark):
     df = spark.range(0, 5000).withColumn("k", (F.col("id") % 7)).withColumn("v", F.col("id") * 3)
     idx = dense_index(df, ["k", "v"], num_partitions=6)
