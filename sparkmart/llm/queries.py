@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, secrets, simhash, toxicity
+from . import bpe, chat, covertree, decontaminate, kneserney, quality, secrets, simhash, toxicity, urlfilter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -30,6 +30,64 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("host", "path", "verdict"), r, strict=True)]) for r in URL_RULES])
+    listed = spark.range(1).select(F.inline(rows))
+    return urlfilter.judge_urls(_read(spark, sf_dir, "pages"), listed)
+
+
+_URL_HOST = "translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_URL_PATH = "coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '')"
+OP3_SQL = f"""
+WITH p AS (SELECT page_id, {_URL_HOST} AS host, {_URL_PATH} AS path FROM pages),
+ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = "</s>[INST] ok [/INST]"
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
+        spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                              F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text")))
+    done = chat.format_conversations(chat.as_messages(rows))
+    done = done.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn(
+        "learned", chat.read_loss(F.col("formatted"), F.col("loss_spans")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP4_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, role AS raw_role, text AS raw_text, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', 'x', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'user', 'x', 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, raw_role NULLS FIRST, raw_text NULLS FIRST)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, raw_role NULLS FIRST, raw_text NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(10 + length(role) + length(regexp_replace(role, '[^\\<\[|]', '', 'g'))
+                + length(text) + length(regexp_replace(text, '[^\\<\[|]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = [r.kind for r in secrets.BASE_RULES]
     found = secrets.find_secrets(_read(spark, sf_dir, "documents"))
@@ -45,11 +103,19 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("spans")).alias("spans"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE),
                                 public_tokenizers.PATTERN, with_ids=False)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -60,8 +126,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op5_secrets, op7_byte_bpe, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_url_filter, op4_chat_format, op5_secrets,
+                                   op6_embedding_dedup, op7_byte_bpe, op8_lm_scoring, op9_simhash, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filter": OP3_SQL, "op4_chat_format": OP4_SQL}
