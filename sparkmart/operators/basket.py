@@ -21,8 +21,10 @@ from sparkmart.operators.profile import NON_PRODUCT_CODES
 
 
 def market_lines(fact: DataFrame, excluded_codes=NON_PRODUCT_CODES) -> DataFrame:
-    """F8: product lines only (non-product codes removed) and no negative spend."""
-    return fact.filter(~F.col("StockCode").isin(*excluded_codes) & ~(F.col("total_spend") < 0))
+    """F8: product lines only (non-product codes removed) and no negative spend;
+    lines with a NULL code or spend stay."""
+    excluded = F.col("StockCode").isin(*excluded_codes)
+    return fact.filter(~F.coalesce(excluded, F.lit(False)) & ~F.coalesce(F.col("total_spend") < 0, F.lit(False)))
 
 
 def baskets(fact: DataFrame, item: str = "Description", basket: str = "InvoiceNo",
@@ -59,7 +61,7 @@ def association_rules(itemsets: DataFrame, min_lift: float = 1.0, digits: int =
     sorted item arrays (every subset of a frequent itemset is frequent)."""
     multi = itemsets.filter(F.col("n_items") >= 2)
     masks = multi.select("items", "support", "n_items",
-                         F.explode(F.expr("sequence(1, (1 << n_items) - 2)")).alias("_m"))
+                         F.explode(F.expr("sequence(1L, shiftleft(1L, n_items) - 2L)")).alias("_m"))
     splits = masks.select(F.expr("filter(items, (x, i) -> ((_m >> i) & 1) = 1)").alias("antecedents"),
                           F.expr("filter(items, (x, i) -> ((_m >> i) & 1) = 0)").alias("consequents"),
                           F.col("support"))

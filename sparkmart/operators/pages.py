@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 URL_ID_PATTERN = r"(?:-i).(\d*).(\d*)"          # shop id and product id in product URLs
 HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)"
 PATH_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)?"
-TITLE_PATTERN = r"(?s)<title>(.*?)</title>"
-H1_PATTERN = r"(?s)<h1>(.*?)</h1>"
+TITLE_PATTERN = r"(?s)<title[^>]*>(.*?)</title>"
+H1_PATTERN = r"(?s)<h1(?:\s[^>]*)?>(.*?)</h1>"
 LANG_PATTERN = r"<html[^>]*\blang=\"([^\"]*)\""
-HREF_PATTERN = r"href=\"([^\"]*)\""
-PARAGRAPH_PATTERN = r"(?s)<p>(.*?)</p>"
+HREF_PATTERN = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
+# What ends an open paragraph: its end tag, or any tag of a block around or after it.
+PARAGRAPH_END = (r"(?i)</?(?:p|div|body|html|main|section|article|header|footer|nav|aside|table|tr|td|th|ul|ol|li|dl|form|"
+                 r"blockquote|pre|hr|h[1-6])(?:\s[^>]*)?/?>")
 TAG_PATTERN = r"<[^>]+>"
 SCRIPT_PATTERN = r"(?s)<script[^>]*>.*?</script>"
 STYLE_PATTERN = r"(?s)<style[^>]*>.*?</style>"
@@ -46,6 +49,12 @@ def slug(c: Column) -> Column:
     return F.replace(c, F.lit(" "), F.lit("-"))
 
 
+def hrefs(html: Column) -> Column:
+    """The values of all href attributes, in double or single quotes."""
+    both = F.arrays_zip(F.regexp_extract_all(html, _lit(HREF_PATTERN), 1).alias("a"), F.regexp_extract_all(html, _lit(HREF_PATTERN), 2).alias("b"))
+    return F.transform(both, lambda x: F.concat(F.coalesce(x["a"], F.lit("")), F.coalesce(x["b"], F.lit(""))))
+
+
 def page_records(pages: DataFrame) -> DataFrame:
     """One record per page."""
     html, url = F.col("html"), F.col("url")
@@ -60,29 +69,41 @@ def page_records(pages: DataFrame) -> DataFrame:
         title.alias("title"),
         slug(F.lower(title)).alias("title_slug"),
         strip_tags(F.regexp_extract(html, H1_PATTERN, 1)).alias("h1"),
-        F.size(F.regexp_extract_all(html, _lit(HREF_PATTERN), 1)).alias("n_links"),
+        F.size(hrefs(html)).alias("n_links"),
         F.length(strip_tags(html)).alias("text_chars"),
     )
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Every href with its ordinal and the absolute URL it points to."""
+    """Every href with its ordinal and the absolute URL it points to.  A link
+    with a scheme of its own (``mailto:`` too) is absolute, ``#...`` and ``?...``
+    belong to the page, other relative links to the page's folder."""
+    page = F.regexp_extract(F.col("url"), r"^([^#]*)", 1)
+    place = F.regexp_extract(F.col("url"), r"^([^?#]*)", 1)
     base = F.regexp_extract(F.col("url"), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
-    links = pages.select("page_id", base.alias("_base"),
-                         F.posexplode(F.regexp_extract_all(F.col("html"), _lit(HREF_PATTERN), 1)).alias("pos", "link"))
+    folder = F.regexp_extract(place, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/(?:.*/)?)", 1)
+    links = pages.select("page_id", base.alias("_base"), page.alias("_page"), place.alias("_place"),
+                         F.when(folder != "", folder).otherwise(F.concat(base, F.lit("/"))).alias("_folder"),
+                         F.posexplode(hrefs(F.col("html"))).alias("pos", "link"))
     link = F.col("link")
-    absolute = (F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+    absolute = (F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
                  .when(link.startswith("//"), F.concat(F.regexp_extract(F.col("_base"), "^([^:]+:)", 1), link))
                  .when(link.startswith("/"), F.concat(F.col("_base"), link))
-                 .otherwise(F.concat(F.col("_base"), F.lit("/"), link)))
+                 .when(link.startswith("#"), F.concat(F.col("_page"), link))
+                 .when(link.startswith("?"), F.concat(F.col("_place"), link))
+                 .otherwise(F.concat(F.col("_folder"), link)))
     return links.select("page_id", F.col("pos").cast("int").alias("pos"), "link", absolute.alias("absolute_url"))
 
 
 def page_paragraphs(pages: DataFrame) -> DataFrame:
-    """Paragraph list → rows (ordinal, text, length)."""
-    paras = pages.select("page_id", F.posexplode(F.regexp_extract_all(F.col("html"), _lit(PARAGRAPH_PATTERN), 1))
-                         .alias("pos", "raw"))
-    text = F.trim(F.regexp_replace(F.col("raw"), TAG_PATTERN, ""))
+    """Paragraph list → rows (ordinal, text, length).  Scripts and styles
+    are removed, the rest is cut at every paragraph's start tag, and a paragraph
+    reaches to its end tag, the next block tag or the end of the page."""
+    html = F.regexp_replace(F.regexp_replace("html", SCRIPT_PATTERN, ""), STYLE_PATTERN, "")
+    parts = F.split(html, PARAGRAPH_START)
+    paras = pages.where("html IS NOT NULL").select(
+        "page_id", F.posexplode(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("pos", "raw"))
+    text = F.trim(F.regexp_replace(F.split("raw", PARAGRAPH_END, 2)[0], TAG_PATTERN, ""))
     return paras.select("page_id", F.col("pos").cast("int").alias("pos"), text.alias("text"),
                         F.length(text).alias("n_chars"))
 

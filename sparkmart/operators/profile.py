@@ -122,7 +122,7 @@ def row_counts(df: DataFrame) -> DataFrame:
     """Total rows and distinct rows (distinct via a grouped count)."""
     total = df.agg(F.count(F.lit(1)).alias("rows"))
     distinct = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return total.crossJoin(distinct)
+    return total.crossJoin(F.broadcast(distinct))
 
 
 def iqr_fence(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
@@ -136,9 +136,9 @@ def iqr_fence(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
 
 
 def zscore_filter(df: DataFrame, col: str, limit: float = 3.0) -> DataFrame:
-    """keep |x - mean| / std_pop < limit."""
+    """keep |x - mean| / std_pop < limit; a column without deviation has no outliers."""
     s = df.agg(F.avg(F.col(col).cast("double")).alias("_m"), F.stddev_pop(F.col(col).cast("double")).alias("_s"))
-    z = F.abs((F.col(col) - F.col("_m")) / F.col("_s"))
+    z = F.abs(F.col(col) - F.col("_m")) / F.when(F.col("_s") != 0, F.col("_s")).otherwise(F.lit(1.0))
     return df.crossJoin(F.broadcast(s)).filter(z < limit).drop("_m", "_s")
 
 
@@ -148,11 +148,14 @@ def remove_outliers(df: DataFrame, iqr_column: str = "Quantity", zscore_column:
 
 
 def minmax_scale(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """M2: (x - min) / (max - min) per column, bounds broadcast as one row."""
+    """M2: (x - min) / (max - min) per column, bounds broadcast as one row; a
+    constant column is 0."""
     b = df.agg(*[F.min(c).alias(f"_mn_{c}") for c in cols], *[F.max(c).alias(f"_mx_{c}") for c in cols])
     j = df.crossJoin(F.broadcast(b))
-    return j.select(key, *[((F.col(c) - F.col(f"_mn_{c}")) /
-                            (F.col(f"_mx_{c}") - F.col(f"_mn_{c}"))).alias(c) for c in cols])
+    def width(c: str) -> Column:
+        w = F.col(f"_mx_{c}") - F.col(f"_mn_{c}")
+        return F.when(w != 0, w).otherwise(F.lit(1))
+    return j.select(key, *[((F.col(c) - F.col(f"_mn_{c}")) / width(c)).alias(c) for c in cols])
 
 
 def correlation_long(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:

@@ -59,6 +59,21 @@ def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = IDX,
                   .drop("_pid", "_pos", "_off"))
 
 
+def running_total(df: DataFrame, order_cols: list[str], weight: str, total: str) -> DataFrame:
+    """Adds ``total``: the sum of ``weight`` over all rows up to and with this one
+    in the order of ``order_cols`` (a total order).  Rows are range-partitioned
+    and summed up inside each partition; one row per partition carries the sums
+    of the partitions before it."""
+    ranged = reliable_checkpoint(
+        df.repartitionByRange(shuffle_partitions(df.sparkSession), *order_cols).sortWithinPartitions(*order_cols)
+          .withColumn("_pid", F.spark_partition_id()))
+    offsets = ranged.groupBy("_pid").agg(F.sum(weight).alias("_n")).select(
+        "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    inside = F.sum(weight).over(Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0))
+    return (ranged.withColumn(total, inside).join(F.broadcast(offsets), "_pid")
+                  .withColumn(total, F.col(total) + F.col("_off")).drop("_pid", "_off"))
+
+
 def previous_rows(indexed: DataFrame, key_cols: list[str], value_cols: list[str], lags: list[int],
                   idx_col: str = IDX) -> DataFrame:
     """For each row add ``{col}_lag{k}``: the value ``k`` rows earlier in the

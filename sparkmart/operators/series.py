@@ -9,11 +9,10 @@ key (when given) and otherwise run over that bounded table.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkmart.functions.columns import money
 from sparkmart.operators.profile import line_class
@@ -105,7 +104,8 @@ def autocorrelation(df: DataFrame, col: str, max_lag: int = 30, series_key: list
     """acf(k) = Σ_t (x_t - m)(x_{t-k} - m) / Σ_t (x_t - m)², k = 0..max_lag.
 
     The lagged pairs come from an equi-join on position (t = s + k) after
-    exploding each row into its max_lag+1 shifted copies."""
+    exploding each row into its max_lag+1 shifted copies.  A constant series
+    has no autocorrelation (NULL)."""
     keys = list(series_key or [])
     idx = with_row_index(df.select(*keys, DAY, F.col(col).cast("double").alias("x")), series_key)
     m = idx.groupBy(*keys).agg(F.avg("x").alias("m"), F.sum(F.lit(1)).alias("n"))
@@ -118,40 +118,29 @@ def autocorrelation(df: DataFrame, col: str, max_lag: int = 30, series_key: list
     num = pairs.groupBy(*keys, "lag").agg(F.sum("p").alias("num"))
     den = cen.groupBy(*keys).agg(F.sum(F.col("d") * F.col("d")).alias("den"))
     j = num.join(den, keys) if keys else num.crossJoin(F.broadcast(den))
-    return j.select(*keys, "lag", F.round(F.col("num") / F.col("den"), digits).alias("acf"))
+    return j.select(*keys, "lag", F.round(F.try_divide("num", "den"), digits).alias("acf"))
 
 
 def spectrum(df: DataFrame, col: str, top: int = 10, series_key: list[str] | None = None) -> DataFrame:
-    """Real-FFT amplitude spectrum, top amplitudes with period N/k (k>0).
+    """Amplitudes |Σ_t x_t e^(-2πikt/N)| of the frequencies k = 1..N/2, the
+    ``top`` largest with their period N/k.
 
-    One series (bounded by its day count) per group: Spark groups by the
-    series key and numpy runs the FFT inside the task."""
+    Every day meets every frequency (half the squared number of days, bounded by
+    the calendar, whatever the number of lines) and two sums by frequency are
+    combined map-side; the angle is reduced modulo N before it is taken, so it
+    stays exact for long series."""
     keys = list(series_key or [])
-    src = df.select(*keys, DAY, F.col(col).cast("double").alias("x"))
-    if not keys:
-        src = src.withColumn("_series", F.lit(0))
-    gkeys = keys or ["_series"]
-    key_fields = [f for f in src.schema.fields if f.name in gkeys]
-    out_schema = T.StructType(key_fields + [T.StructField("rank", T.IntegerType()),
-                                            T.StructField("k", T.IntegerType()),
-                                            T.StructField("period", T.DoubleType()),
-                                            T.StructField("amplitude", T.DoubleType())])
-
-    def fft(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(DAY)
-        x = pdf["x"].to_numpy(dtype=float)
-        n = len(x)
-        amp = np.abs(np.fft.rfft(x))
-        ks = np.arange(len(amp))
-        order = [k for k in np.lexsort((ks, -amp)) if k > 0][:top]
-        rows = {g: pdf[g].iloc[0] for g in gkeys}
-        return pd.DataFrame({**{g: [v] * len(order) for g, v in rows.items()},
-                             "rank": list(range(1, len(order) + 1)), "k": [int(k) for k in order],
-                             "period": [round(n / k, 3) for k in order],
-                             "amplitude": [round(float(amp[k]), 2) for k in order]})
-
-    res = src.groupBy(*gkeys).applyInPandas(fft, out_schema)
-    return res.drop("_series") if not keys else res
+    idx = with_row_index(df.select(*keys, DAY, F.col(col).cast("double").alias("x")), series_key)
+    n = idx.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    j = idx.join(n, keys) if keys else idx.crossJoin(F.broadcast(n))
+    j = j.where("n > 1").withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("n") / 2))))
+    angle = 2 * math.pi * F.pmod(F.col("k") * F.col("t"), F.col("n")) / F.col("n")
+    amp = (j.groupBy(*keys, "n", "k").agg(F.sum(F.col("x") * F.cos(angle)).alias("re"), F.sum(F.col("x") * F.sin(angle)).alias("im"))
+           .withColumn("a", F.hypot("re", "im")))
+    order = Window.partitionBy(*keys).orderBy(F.desc("a"), "k")
+    ranked = amp.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return ranked.select(*keys, F.col("rank").cast("int"), F.col("k").cast("int").alias("k"),
+                         F.round(F.col("n") / F.col("k"), 3).alias("period"), F.round("a", 2).alias("amplitude"))
 
 
 def time_series_folds(df: DataFrame, n_splits: int = 5, series_key: list[str] | None = None) -> DataFrame:
@@ -198,15 +187,25 @@ def mean_baseline(series: DataFrame, col: str, compat: bool = False) -> DataFram
                                                                                "prediction")
 
 
-def pivot_counts(df: DataFrame, label: str, values: list, prefix: str = "cluster_",
-                 distinct_on: str | None = "InvoiceNo") -> DataFrame:
+def pivot_counts(df: DataFrame, label: str, prefix: str = "cluster_", distinct_on: str | None = "InvoiceNo") -> DataFrame:
     """Per day × label count of (distinct) invoices, pivoted to
-    ``{prefix}{value}`` columns, 0 when absent.  ``values`` is the known label
-    set, so the pivot needs no extra pass to discover it."""
+    ``{prefix}{value}`` columns, 0 when absent.  The columns are the labels the
+    data holds, in order (they become the result's schema, so they are read
+    first); a NULL label is the column ``{prefix}none``."""
     day = F.to_date(DAY).alias(DAY)
     cnt = F.countDistinct(distinct_on) if distinct_on else F.count(F.lit(1))
-    p = df.groupBy(day).pivot(label, values).agg(cnt)
-    return p.select(DAY, *[F.coalesce(F.col(str(v)), F.lit(0)).cast("long").alias(f"{prefix}{v}") for v in values])
+    named = df.withColumn("_label", F.coalesce(F.col(label).cast("string"), F.lit("none")))
+    values = [r[0] for r in named.select(label, "_label").distinct().orderBy(label, "_label").select("_label").collect()]
+    p = named.groupBy(day).pivot("_label", values).agg(cnt)
+    return p.select(DAY, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(f"{prefix}{v}") for v in values])
+
+
+def with_label_counts(daily: DataFrame, fact: DataFrame, labels: DataFrame, key: str, label: str, prefix: str = "cluster_") -> DataFrame:
+    """J5 + J6: the labels joined to the fact on ``key``, counted by day, and the
+    counts joined to the daily frame; a day without labelled invoices has 0."""
+    counts = pivot_counts(fact.join(labels.select(key, label), key), label, prefix)
+    added = [c for c in counts.columns if c != DAY]
+    return daily.join(counts, DAY, "left").select(*daily.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in added])
 
 
 def minmax(df: DataFrame, cols: list[str]) -> DataFrame:

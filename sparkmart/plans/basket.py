@@ -4,6 +4,7 @@ itemsets by brute-force self-joins, an independent method."""
 from __future__ import annotations
 
 from sparkmart.operators import basket
+from sparkmart.operators.profile import NON_PRODUCT_CODES
 from sparkmart.plans.registry import register
 from sparkmart.plans.sqltext import with_fact
 from sparkmart.sources.tables import transaction_fact
@@ -11,12 +12,12 @@ from sparkmart.sources.tables import transaction_fact
 # Support threshold chosen for the generated catalogue (64 products, ~3 items
 # per basket): at the published 0.03 only single items are frequent.
 MIN_SUPPORT = 0.002
-_CODES = "'DOT', 'POST', 'M', 'BANK CHARGES', 'D', 'CRUK', 'B', 'S'"
+_CODES = ", ".join(f"'{c}'" for c in NON_PRODUCT_CODES)
 
 _BASKET_CTES = f"""
 items AS (
   SELECT InvoiceNo, Description AS item FROM fact
-  WHERE StockCode NOT IN ({_CODES}) AND NOT (total_spend < 0)
+  WHERE coalesce(StockCode NOT IN ({_CODES}), TRUE) AND NOT coalesce(total_spend < 0, FALSE)
   GROUP BY InvoiceNo, Description HAVING sum(Quantity) >= 1),
 keep AS (SELECT InvoiceNo FROM items GROUP BY InvoiceNo HAVING count(*) >= 2),
 bi AS (SELECT i.* FROM items i JOIN keep USING (InvoiceNo)),
@@ -42,7 +43,11 @@ _RULES_SQL = with_fact(extra_ctes=_BASKET_CTES + """,
 pairs AS (
   SELECT [x.items[1]] AS antecedents, [x.items[2]] AS consequents, x.support FROM fi x WHERE x.n_items = 2
   UNION ALL
-  SELECT [x.items[2]], [x.items[1]], x.support FROM fi x WHERE x.n_items = 2),
+  SELECT [x.items[2]], [x.items[1]], x.support FROM fi x WHERE x.n_items = 2
+  UNION ALL
+  SELECT [x.items[i]], list_filter(x.items, lambda y: y <> x.items[i]), x.support FROM fi x, range(1, 4) t(i) WHERE x.n_items = 3
+  UNION ALL
+  SELECT list_filter(x.items, lambda y: y <> x.items[i]), [x.items[i]], x.support FROM fi x, range(1, 4) t(i) WHERE x.n_items = 3),
 r AS (
   SELECT p.antecedents, p.consequents, p.support, p.support / a.support AS conf,
          p.support / a.support / c.support AS lift

@@ -36,7 +36,7 @@ _MODE_SQL = _CLEAN_CTES + "SELECT StockCode, Description FROM modes"
 
 
 @register("clean_transactions", oracle=_CLEAN_SQL,
-          covers=("S3", "N1", "N2", "P11", "P12", "P14", "X2", "A7", "J3", "P8", "K8", "K9", "K10", "K11", "K12"))
+          covers=("N1", "P11", "P14", "X2", "A7", "J3", "P8"))
 def clean_transactions(spark, sf_dir):
     """Raw invoice text → clean fact with description repair."""
     return clean.clean_transactions(raw_invoices(spark, sf_dir))
@@ -47,4 +47,5 @@ def description_mode(spark, sf_dir):
     """Most frequent description per (upper-cased) stock code."""
     raw = raw_invoices(spark, sf_dir)
     from pyspark.sql import functions as F
-    return clean.description_mode(raw.select(F.upper("StockCode").alias("StockCode"), "Description"))
+    return clean.description_mode(raw.select(F.upper("StockCode").alias("StockCode"),
+                                             F.coalesce("Description", F.lit(clean.NO_DESCRIPTION)).alias("Description")))

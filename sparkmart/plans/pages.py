@@ -21,10 +21,10 @@ SELECT page_id, url,
        regexp_extract(url, '(?:-i).(\\d*).(\\d*)', 1) AS shop_id,
        regexp_extract(url, '(?:-i).(\\d*).(\\d*)', 2) AS product_id,
        regexp_extract(html, '<html[^>]*\\blang="([^"]*)"', 1) AS lang,
-       trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) AS title,
-       replace(lower(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1))), ' ', '-') AS title_slug,
-       {_STRIP.format(x="regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} AS h1,
-       CAST(len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS INTEGER) AS n_links,
+       trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) AS title,
+       replace(lower(trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1))), ' ', '-') AS title_slug,
+       {_STRIP.format(x="regexp_extract(html, '(?s)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1)")} AS h1,
+       CAST(len(regexp_extract_all(html, 'href\\s*=\\s*("[^"]*"|''[^'']*'')', 1)) AS INTEGER) AS n_links,
        CAST(length({_STRIP.format(x="html")}) AS INTEGER) AS text_chars
 FROM pages"""
 
@@ -34,17 +34,21 @@ def page_records(spark, sf_dir):
     return pg.page_records(table(spark, sf_dir, "pages"))
 
 
-_LINKS_SQL = """
+_LINKS_SQL = r"""
 WITH l AS (
-  SELECT page_id, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) AS base,
-         regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages),
-x AS (SELECT page_id, base, CAST(i - 1 AS INTEGER) AS pos, links[i] AS link
+  SELECT page_id, url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) AS base,
+         regexp_extract_all(html, 'href\s*=\s*("[^"]*"|''[^'']*'')', 1) AS links FROM pages),
+x AS (SELECT page_id, base, string_split(url, '#')[1] AS page, string_split(string_split(url, '#')[1], '?')[1] AS place,
+             CAST(i - 1 AS INTEGER) AS pos, links[i][2:-2] AS link
       FROM l, LATERAL (SELECT unnest(range(1, len(links) + 1)) AS i))
 SELECT page_id, pos, link,
-       CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+       CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN link
             WHEN starts_with(link, '//') THEN regexp_extract(base, '^([^:]+:)', 1) || link
             WHEN starts_with(link, '/') THEN base || link
-            ELSE base || '/' || link END AS absolute_url
+            WHEN starts_with(link, '#') THEN page || link
+            WHEN starts_with(link, '?') THEN place || link
+            WHEN place = base THEN base || '/' || link
+            ELSE base || regexp_replace(substr(place, length(base) + 1), '[^/]*$', '') || link END AS absolute_url
 FROM x"""
 
 
@@ -53,14 +57,21 @@ def page_links(spark, sf_dir):
     return pg.page_links(table(spark, sf_dir, "pages"))
 
 
-_PARAS_SQL = """
-WITH l AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS ps FROM pages),
+# An independent way: every start tag becomes one mark character, every end of a
+# paragraph another, and the pieces between them are matched.
+_PARAS_SQL = r"""
+WITH l AS (
+  SELECT page_id, regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+           html, '(?s)<script[^>]*>.*?</script>', '', 'g'), '(?s)<style[^>]*>.*?</style>', '', 'g'),
+           '(?i)<p(\s[^>]*)?>', chr(1), 'g'),
+           '(?i)</?(p|div|body|html|main|section|article|header|footer|nav|aside|table|tr|td|th|ul|ol|li|dl|form|blockquote|pre|hr|h[1-6])(\s[^>]*)?/?>', chr(2), 'g'),
+           '\x01([^\x01\x02]*)', 1) AS ps FROM pages),
 x AS (SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, trim(regexp_replace(ps[i], '<[^>]+>', '', 'g')) AS text
       FROM l, LATERAL (SELECT unnest(range(1, len(ps) + 1)) AS i))
 SELECT page_id, pos, text, CAST(length(text) AS INTEGER) AS n_chars FROM x"""
 
 
-@register("page_paragraphs", oracle=_PARAS_SQL, covers=("C4", "X15", "X13"))
+@register("page_paragraphs", oracle=_PARAS_SQL, covers=("C4", "X13"))
 def page_paragraphs(spark, sf_dir):
     return pg.page_paragraphs(table(spark, sf_dir, "pages"))
 

@@ -114,14 +114,14 @@ def kmeans_inertia_sweep(spark, sf_dir):
                                  "k int, inertia double, chosen boolean")
 
 
-@register("customer_segments", covers=("M1", "M3", "M4", "M5", "M14"))
+@register("customer_segments", covers=("M1", "M3", "M4", "M5"))
 def customer_segments(spark, sf_dir):
     prof = _profile(spark, sf_dir)
     out, _, _, _ = segment.segment_customers(prof)
     return out
 
 
-@register("cluster_importance", covers=("M7", "M8", "M9", "M10", "M11", "M12", "M13", "M14", "M17", "U2"))
+@register("cluster_importance", covers=("M7", "M8", "M11", "M12", "M13"))
 def cluster_importance(spark, sf_dir):
     prof = _profile(spark, sf_dir)
     labelled, _, _, _ = segment.segment_customers(prof)
@@ -133,7 +133,7 @@ def cluster_importance(spark, sf_dir):
 @register("silhouette_scores", covers=("M6",))
 def silhouette_scores(spark, sf_dir):
     sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir)))
-    return spark.createDataFrame(segment.silhouette(sc, (4, 6, 8)), "k int, silhouette double")
+    return spark.createDataFrame(segment.silhouette(sc), "k int, silhouette double")
 
 
 @register("surrogate_models", covers=("M15", "M16", "M9"))

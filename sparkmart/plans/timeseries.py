@@ -156,6 +156,7 @@ def daily_minmax(spark, sf_dir):
     return series.minmax(d, ["all_qty", "total_unique_item", "all_sales"])
 
 
+# The generated labels, for the oracle's columns only; the query reads its own.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -169,23 +170,23 @@ _PIVOT_SQL = with_fact(body="SELECT CAST(f.InvoiceDate AS DATE) AS InvoiceDate,
     + " FROM fact f JOIN customer c ON f.CustomerID = c.c_custkey GROUP BY 1")
 
 
-@register("daily_segment_pivot", oracle=_PIVOT_SQL, covers=("A12", "J5", "J6", "P12"))
+@register("daily_segment_pivot", oracle=_PIVOT_SQL, covers=("A12", "P12"))
 def daily_segment_pivot(spark, sf_dir):
     """Invoices per day and customer segment, one column per segment."""
-    return series.pivot_counts(_segment_fact(spark, sf_dir), "c_mktsegment", SEGMENTS, prefix="segment_")
+    return series.pivot_counts(_segment_fact(spark, sf_dir), "c_mktsegment", prefix="segment_")
 
 
-@register("lag_cv_scores", covers=("M21", "M22", "W6", "W8", "W12", "F14"))
+@register("lag_cv_scores", covers=("M21", "W6", "W12", "F14"))
 def lag_cv_scores(spark, sf_dir):
     """Decision-tree and GBT regressors on lag features, expanding folds."""
     from sparkmart.operators import forecast
     from sparkmart.session import reliable_checkpoint
     daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty"))
-    return forecast.lag_cross_validation(daily, "total_qty", lag_sets=((3,), (6,), (3, 6, 9, 12)),
+    return forecast.lag_cross_validation(daily, "total_qty", lag_sets=((3,), (6,), (9,), (12,)),
                                          kinds=("tree", "gbt"), n_splits=5)
 
 
-@register("forecast_scores", covers=("M23", "M24", "W13"))
+@register("forecast_scores", covers=("M24", "W13"))
 def forecast_scores(spark, sf_dir):
     """Final GBT on lags 3..12 vs the train-mean baseline on the last 20 % of days."""
     from sparkmart.operators import forecast

@@ -17,21 +17,31 @@ def read_data(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struct
               options: dict | None = None) -> DataFrame:
     """Schema-applied read.  CSV defaults to header=true; pass
     ``{"encoding": "windows-1252"}`` for legacy files.  ``txt`` reads lines
-    into the single ``value`` column of the text source."""
+    into the single ``value`` column of the text source; a parquet read with a
+    schema yields its columns by name, cast, and NULL where the file has none."""
     src = FORMAT_ALIASES.get(fmt, fmt)
-    opts = {"header": "true"} if src == "csv" else {}
+    # a header that differs from the schema is an error, not a silent shift of columns
+    opts = {"header": "true", "enforceSchema": "false"} if src == "csv" else {}
     opts.update({k: str(v) for k, v in (options or {}).items()})
     r = spark.read.format(src).options(**opts)
-    if schema is not None and src not in ("text", "parquet"):
-        r = r.schema(schema)
-    return r.load(path)
+    if schema is None or src == "text":
+        return r.load(path)
+    if src != "parquet":
+        return r.schema(schema).load(path)
+    df = r.load(path)
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def read_legacy_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """S3: CSV written in the cp1252 code page.  Spark 4 only accepts the
     Unicode / Latin-1 charsets unless the JVM charset table is enabled;
-    windows-1252 differs from Latin-1 in 0x80-0x9F (€, curly quotes)."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    windows-1252 differs from Latin-1 in 0x80-0x9F (€, curly quotes).
+
+    The setting is needed while the frame runs, so it is not changed here: a
+    session without it gets an error that names it."""
+    if spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+        raise ValueError("cp1252 files need a session with spark.sql.legacy.javaCharsets=true")
     return read_data(spark, path, "csv", schema, {"encoding": "windows-1252"})
 
 
@@ -54,11 +64,11 @@ def jdbc_options(url: str, table: str, partition_column: str | None = None, lowe
                  **extra) -> dict:
     """Options for a parallel JDBC extract (one range query per partition).
 
-    Without a partition column the extract is one query on one task, so we
-    require bounds whenever a partition count is given."""
+    Without a partition column the extract is one query on one task, so a
+    partition count without a column and bounds is an error."""
     opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
-    if partition_column:
-        if lower is None or upper is None or not num_partitions:
+    if partition_column or num_partitions is not None or lower is not None or upper is not None:
+        if not partition_column or lower is None or upper is None or not num_partitions:
             raise ValueError("partitioned JDBC reads need lower, upper and num_partitions")
         opts.update(partitionColumn=partition_column, lowerBound=str(lower), upperBound=str(upper),
                     numPartitions=str(num_partitions))

@@ -14,79 +14,10 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Number of rows the nation dimension can ever have (one per country code);
-# it is the only table we broadcast unconditionally.
-NATION_ROW_BOUND = 256
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path, _modified(spark, path))
-    known = _SCAN_CACHE.get(key)
-    if known is None:
-        df = spark.read.parquet(path)
-        known = _SCAN_CACHE[key] = (df.schema, _spread_to(df))
-    schema, spread = known
-    # an explicit schema skips parquet schema inference, which reads the
-    # footers in a Spark job on every read
-    df = spark.read.schema(schema).parquet(path)
-    return df.repartition(spread) if spread else df
-
-
-# (application, path, modification time) -> (schema, spread partition count or
-# 0).  Opening a table is then free of driver-side jobs after the first time;
-# a rewritten table has a new modification time and is inspected again.
-_SCAN_CACHE: dict[tuple, tuple] = {}
-
-
-def _modified(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
-
-
-SPREAD_MIN_BYTES_PER_SPLIT = 1 << 20
-
-
-def _input_bytes(df: DataFrame) -> int:
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def spread_scan(df: DataFrame, min_splits: int | None = None,
-                min_bytes_per_split: int = SPREAD_MIN_BYTES_PER_SPLIT) -> DataFrame:
-    """Spread a scan whose few, large input splits would starve the cores.
-
-    A parquet file is split by row group; a table stored as one file with one
-    row group is read by ONE task, and everything fused onto the scan (joins
-    against broadcast dimensions, partial aggregates) runs on one core.  When
-    a scan has fewer splits than the default parallelism AND its splits are
-    large (≥ ``min_bytes_per_split`` each), it gets one round-robin
-    repartition; column pruning and filters are still pushed below it into
-    the scan.  Small dimensions (broadcast anyway) and any table already
-    stored in many splits — every real 100 TB table — are returned unchanged,
-    with no shuffle.
-    """
-    want = _spread_to(df, min_splits, min_bytes_per_split)
-    return df.repartition(want) if want else df
-
-
-def _spread_to(df: DataFrame, min_splits: int | None = None,
-               min_bytes_per_split: int = SPREAD_MIN_BYTES_PER_SPLIT) -> int:
-    """Partition count ``spread_scan`` spreads to, or 0 to leave the scan."""
-    want = min_splits or df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n >= want:
-        return 0
-    return want if _input_bytes(df) / max(n, 1) >= min_bytes_per_split else 0
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
@@ -105,10 +36,9 @@ def transaction_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Join order: the order-level dimension (orders ⋈ customer ⋈ nation) is built
     first, then the large line table joins it on the order key and the part
-    dimension on the part key.  Only nation (bounded by NATION_ROW_BOUND) is
-    broadcast by hint; customer and part grow with the data, so AQE decides
-    from runtime sizes whether they fit under the broadcast threshold, and
-    falls back to a (skew-split) sort-merge join otherwise.
+    dimension on the part key.  No side is broadcast by hint: Spark decides from
+    the sizes it knows, and otherwise runs a sort-merge join whose skewed
+    partitions AQE splits.  A line of quantity 0 has no unit price.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
@@ -118,7 +48,7 @@ def transaction_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
 
     order_dim = (od.join(cu, od.o_custkey == cu.c_custkey)
-                   .join(F.broadcast(na), F.col("c_nationkey") == na.n_nationkey)
+                   .join(na, F.col("c_nationkey") == na.n_nationkey)
                    .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
     joined = (li.join(order_dim, li.l_orderkey == order_dim.o_orderkey)
                 .join(pa, li.l_partkey == pa.p_partkey))
@@ -129,7 +59,7 @@ def transaction_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("Description"),
         F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("int").alias("Quantity"),
         F.col("o_orderdate").alias("InvoiceDate"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("UnitPrice"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("UnitPrice"),
         F.col("o_custkey").alias("CustomerID"),
         F.col("n_name").alias("Country"),
         F.when(returned, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))

@@ -33,5 +33,19 @@ def test_stream_dedup_and_partitions(spark):
     q.awaitTermination(120)
     back = spark.read.parquet(out)
     assert back.count() == 3
-    assert {r.country for r in back.select("country").distinct().collect()} == {"United Kingdom", "France"}
+    assert {r.market for r in back.select("market").distinct().collect()} == {"United Kingdom", "France"}
     assert back.select("_kde_id").distinct().count() == 3
+
+
+def test_late_rows_are_kept(spark):
+    """A backfill older than anything seen is appended; no row goes for its date."""
+    root = tempfile.mkdtemp(prefix="sparkmart-late-")
+    src, out, ck = (os.path.join(root, x) for x in ("in", "out", "ck"))
+    os.makedirs(src)
+    line = "{},22633,HAND WARMER,6,{} 8:28,1.85,17850.0,France"
+    _write(os.path.join(src, "a.csv"), [line.format(1, "3/10/2024"), line.format(2, "3/11/2024")])
+    start_silver_stream(spark, INVOICE_CONFIG, src, out, ck, dt="2024-11-09").awaitTermination(120)
+    _write(os.path.join(src, "b.csv"), [line.format(3, "3/12/2024"), line.format(4, "1/5/2024"), line.format(5, "12/31/2023"),
+                                        line.format(1, "3/10/2024"), line.format(6, "not a date")])
+    start_silver_stream(spark, INVOICE_CONFIG, src, out, ck, dt="2024-11-09").awaitTermination(120)
+    assert sorted(r.document for r in spark.read.parquet(out).select("document").collect()) == list("123456")
