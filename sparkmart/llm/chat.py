@@ -42,24 +42,26 @@ def _same(left: str, left_node: str, right: str) -> Column:
 
 
 def _jump_tables(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Tables k = 0, 1, ... of (conv_id, msg_id, up): the 2^k-th message above, or
-    null; and, of messages that reach a root, (conv_id, msg_id, n, total): how
-    many messages the way has and the sum of their scores."""
+    """Tables k = 0, 1, ... of (conv_id, msg_id, up): the 2^k-th message above,
+    for messages that have one; and, of messages that reach a root, (conv_id,
+    msg_id, n, total): how many messages the way has and the sum of their scores.
+    Each round joins only the messages that are not at their root yet."""
     first = nodes.select("conv_id", "msg_id", F.col("parent_id").alias("up"), F.lit(1).cast("long").alias("n"), F.col("score").alias("total"))
     parents = nodes.select("conv_id", "msg_id")
     step = reliable_checkpoint(
         first.alias("a").join(parents.alias("b"), _same("a", "up", "b"), "left")
         .select("a.conv_id", "a.msg_id", F.col("b.msg_id").alias("up"), "a.n", "a.total"))     # a missing parent: a root
     tables, reach, most = [], 1, step.count()
-    while reach <= most and step.where("up IS NOT NULL").limit(1).count():
-        tables.append(step)
+    done, climbing = step.where("up IS NULL"), step.where("up IS NOT NULL")
+    while reach <= most and climbing.limit(1).count():
+        tables.append(climbing)
         step = reliable_checkpoint(
-            step.alias("a").join(step.alias("b"), _same("a", "up", "b"), "left")
+            climbing.alias("a").join(climbing.unionByName(done).alias("b"), _same("a", "up", "b"))
             .select("a.conv_id", "a.msg_id", F.col("b.up").alias("up"),
-                    (F.col("a.n") + F.coalesce("b.n", F.lit(0))).alias("n"),
-                    (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total")))
+                    (F.col("a.n") + F.col("b.n")).alias("n"), (F.col("a.total") + F.col("b.total")).alias("total")))
+        done, climbing = done.unionByName(step.where("up IS NULL")), step.where("up IS NOT NULL")
         reach *= 2
-    return tables, step.where("up IS NULL").select("conv_id", "msg_id", "n", "total")
+    return tables, done.select("conv_id", "msg_id", "n", "total")
 
 
 def chosen_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
@@ -80,7 +82,7 @@ def chosen_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
     kept = ["conv_id", "leaf_id", "rank", "mean_score"]
     on_path = reliable_checkpoint(leaves.select(*kept, F.col("leaf_id").alias("at"), (F.col("n") - 1).alias("place")))
     for k, table in enumerate(tables):
-        above = (on_path.alias("a").join(table.where("up IS NOT NULL").alias("b"), _same("a", "at", "b"))
+        above = (on_path.alias("a").join(table.alias("b"), _same("a", "at", "b"))
                  .select(*[f"a.{c}" for c in kept], F.col("b.up").alias("at"), (F.col("a.place") - (1 << k)).alias("place")))
         on_path = reliable_checkpoint(on_path.unionByName(above))
     return (on_path.alias("a").join(nodes.alias("b"), _same("a", "at", "b"))
