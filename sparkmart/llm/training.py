@@ -47,9 +47,9 @@ def train(sample: DataFrame, terms: Terms, fit: Callable[[list[tuple[int, np.nda
     without labelled rows.  ``fit`` gets (label, distinct terms, their counts) of
     a shard's documents in the order of their ids' hashes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(table: pa.Table) -> pa.Table:
         rows = []
-        for batch in batches:
+        for batch in table.to_batches():
             order, ys = batch.column("place").to_pylist(), batch.column("y").to_pylist()
             for lo, hi, buf, offs in text_chunks(batch.column("text")):
                 row, index = terms(buf, offs)
@@ -57,14 +57,13 @@ def train(sample: DataFrame, terms: Terms, fit: Callable[[list[tuple[int, np.nda
                 for r in range(hi - lo):
                     rows.append((order[lo + r], ys[lo + r], *np.unique(index[cut[r]:cut[r + 1]], return_counts=True)))
         rows.sort(key=lambda x: (x[0], x[1], len(x[2])))
-        if rows:
-            model = fit([x[1:] for x in rows])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([[a.astype(np.float32).tobytes() for a in model]], pa.list_(pa.binary())), pa.array([len(rows)], pa.int64())],
-                names=["model", "n"])
-
-    models = (sample.select(F.xxhash64("doc_id").alias("place"), "y", "text")
-              .repartition(shards, "place").mapInArrow(run, "model array<binary>, n bigint").collect())
+        model = [a.astype(np.float32).tobytes() for a in fit([x[1:] for x in rows])]
+        return pa.table({"model": pa.array([model], pa.list_(pa.binary())), "n": pa.array([len(rows)], pa.int64())})
+
+    # by a shard number, so that there are ``shards`` models however many partitions a shuffle has
+    place = F.xxhash64("doc_id")
+    models = (sample.select(F.pmod(place, F.lit(shards)).alias("shard"), place.alias("place"), "y", "text")
+              .groupBy("shard").applyInArrow(run, "model array<binary>, n bigint").orderBy("n", "model").collect())
     if not models:
         return None
     weight = np.array([m.n for m in models], float) / sum(m.n for m in models)
