@@ -176,6 +176,31 @@ def daily_segment_pivot(spark, sf_dir):
     return series.pivot_counts(_segment_fact(spark, sf_dir), "c_mktsegment", prefix="segment_")
 
 
+_COUNTED_SQL = with_fact(extra_ctes=_DAILY_CTE + """,
+seg AS (SELECT CAST(f.InvoiceDate AS DATE) AS d, """ + ", ".join(
+    f"count(DISTINCT f.InvoiceNo) FILTER (WHERE c.c_mktsegment = '{s}') AS segment_{s}" for s in SEGMENTS) + """
+  FROM fact f JOIN customer c ON f.CustomerID = c.c_custkey GROUP BY 1)""",
+    body="SELECT daily.*, " + ", ".join(f"coalesce(segment_{s}, 0) AS segment_{s}" for s in SEGMENTS)
+    + " FROM daily LEFT JOIN seg ON daily.InvoiceDate = seg.d")
+
+
+@register("daily_label_counts", oracle=_COUNTED_SQL, covers=("J5", "J6"))
+def daily_label_counts(spark, sf_dir):
+    """The daily frame with its invoices counted by their customers' label."""
+    labels = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"), "c_mktsegment")
+    return series.with_label_counts(_daily(spark, sf_dir), transaction_fact(spark, sf_dir), labels,
+                                    "CustomerID", "c_mktsegment", "segment_")
+
+
+@register("sma_cv_scores", covers=("M22", "W8", "W12"))
+def sma_cv_scores(spark, sf_dir):
+    """Decision-tree regressors on lagged moving averages of 1 to 15 days, expanding folds."""
+    from sparkmart.operators import forecast
+    from sparkmart.session import reliable_checkpoint
+    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty"))
+    return forecast.sma_cross_validation(daily, "total_qty")
+
+
 @register("lag_cv_scores", covers=("M21", "W6", "W12", "F14"))
 def lag_cv_scores(spark, sf_dir):
     """Decision-tree and GBT regressors on lag features, expanding folds."""

@@ -48,6 +48,21 @@ def save_versioned(spark: SparkSession, model, root: str, name: str) -> tuple[in
     return v, path
 
 
+def save_table_versioned(spark: SparkSession, df: DataFrame, root: str, name: str) -> tuple[int, str]:
+    """K5 for a model that is a table (a scaler's statistics): the next version."""
+    versions = list_versions(spark, root, name)
+    v = (versions[-1] + 1) if versions else 1
+    path = f"{model_dir(root, name)}/v={v:04d}"
+    df.write.mode("errorifexists").parquet(path)
+    return v, path
+
+
+def load_latest_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """K6 for such a table, or None."""
+    versions = list_versions(spark, root, name)
+    return spark.read.parquet(f"{model_dir(root, name)}/v={versions[-1]:04d}") if versions else None
+
+
 def load_latest(spark: SparkSession, root: str, name: str, loader=PipelineModel):
     """K6: the latest saved version of ``name``, or None."""
     versions = list_versions(spark, root, name)
