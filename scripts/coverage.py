@@ -17,7 +17,7 @@ WHERE = {
     "S9": "sources/readers.run_sql_file",
     "K1": "sources/writers.write_partitioned, operators/ingest.write_silver", "K2": "config.TableConfig.extra_partition_columns",
     "K3": "sources/writers.write_partitioned (format check)", "K4": "sources/writers.write_data_product",
-    "K5": "sources/model_store.save_versioned", "K6": "sources/model_store.load_latest, list_versions",
+    "K5": "sources/model_store.save_versioned, save_table_versioned (scaler)", "K6": "sources/model_store.load_latest, list_versions",
     "K7": "sources/model_store.control_record, write_control_file", "K8": "sources/writers.replace_table",
     "K9": "sources/writers.append_table", "K10": "sources/writers.external_table", "K11": "sources/writers.create_and_load",
     "K12": "sources/writers.publish", "K13": "sources/writers.write_json_lines", "K14": "not built (object deletion)",
@@ -38,8 +38,8 @@ WHERE = {
     "N5": "operators/profile.keep_first_last; rfm invoice owner", "N6": "operators/ingest.add_surrogate_key (sequence.dense_index)",
     "N7": "operators/profile.duplicate_rows", "N8": "operators/profile.row_counts",
     "J1": "operators/rfm.customer_profile", "J2": "operators/rfm.customer_profile", "J3": "operators/clean.repair_descriptions",
-    "J4": "operators/series.daily_series (one conditional aggregate)", "J5": "plans/timeseries._segment_fact (inner)",
-    "J6": "operators/series.pivot_counts + join", "J7": "operators/series.add_holidays", "J8": "operators/basket (FPGrowth; SQL oracle self-join)",
+    "J4": "operators/series.daily_series (one conditional aggregate)", "J5": "operators/series.with_label_counts (inner join of the labels)",
+    "J6": "operators/series.with_label_counts", "J7": "operators/series.add_holidays", "J8": "operators/basket (FPGrowth; SQL oracle self-join)",
     "J9": "crossJoin(broadcast(one-row aggregate)) in profile/segment/series",
     "A1": "operators/rfm", "A2": "operators/rfm", "A3": "operators/rfm.invoice_lines", "A4": "operators/rfm.monthly_features",
     "A5": "operators/series.daily_series", "A6": "operators/series.daily_series", "A7": "operators/clean.description_mode",
