@@ -226,15 +226,19 @@ def keep_one(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> DataFram
     doc_id stay only if no row of their group has one.  The text is not
     shuffled but for rows that repeat a doc_id."""
     found = reliable_checkpoint(near_duplicates(docs, shingle_words, most))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    if found.where("doc_id IS NULL AND component_id IS NOT NULL").limit(1).count():
-        nameless = found.where("doc_id IS NULL AND component_id IS NOT NULL").select(F.col("fp").alias("_fp")).distinct()
-        docs = docs.withColumn("_own", fingerprint(F.col("text"), shingle_words))
-        docs = docs.join(nameless, F.col("doc_id").isNull() & (F.col("_own") == F.col("_fp")), "left_anti").drop("_own")
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"), F.col("fp").alias("_gone_fp")).distinct()
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_again"))
-    if not repeated.limit(1).count():
+    nameless = found.where("doc_id IS NULL AND component_id IS NOT NULL").select(F.col("fp").alias("_fp")).distinct()
+    unnamed, again = bool(nameless.limit(1).count()), bool(repeated.limit(1).count())
+    columns = docs.columns
+    if unnamed or again:                         # an id alone does not tell the rows apart
+        docs = docs.withColumn("_own", fingerprint(F.col("text"), shingle_words))
+    if unnamed:
+        docs = docs.join(nameless, F.col("doc_id").isNull() & (F.col("_own") == F.col("_fp")), "left_anti")
+    same_row = F.col("doc_id") == F.col("_gone")
+    left = docs.join(gone, same_row & (F.col("_own") == F.col("_gone_fp")) if again else same_row, "left_anti").select(*columns)
+    if not again:
         return left
-    same = left["doc_id"].eqNullSafe(F.col("_again"))
+    same = F.col("doc_id").eqNullSafe(F.col("_again"))
     return left.join(repeated, same, "left_anti").unionByName(
         left.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))

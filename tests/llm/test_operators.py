@@ -91,6 +91,9 @@ def test_simhash(spark, docs):
     kept = [r.doc_id for r in simhash.keep_one(docs).collect()]
     assert len(kept) == len(set(kept)) and set(kept) == {r.component_id for r in got}
     assert simhash.near_duplicates(_empty(docs)).count() == 0
+    # an id on rows of different groups: it goes from one and stays in the other
+    torn = spark.createDataFrame([(3, TEXTS[8]), (5, TEXTS[8]), (5, TEXTS[9])], "doc_id int, text string")
+    assert sorted((r.doc_id, r.text == TEXTS[9]) for r in simhash.keep_one(torn).collect()) == [(3, False), (5, True)]
 
 
 @pytest.mark.parametrize("cell_rows", [4096, 16])
