@@ -67,10 +67,9 @@ def calendar_features(df: DataFrame, day: str = DAY) -> DataFrame:
 
 
 def add_holidays(df: DataFrame, holidays: DataFrame, day: str = DAY) -> DataFrame:
-    """``is_holiday`` from a holiday calendar (one row per date — a
-    calendar is bounded by the date range, so it is broadcast)."""
+    """``is_holiday`` from a holiday calendar; dates listed twice count once."""
     cal = holidays.select(F.col(holidays.columns[0]).cast("date").alias("_hday")).distinct()
-    j = df.join(F.broadcast(cal), F.col(day) == F.col("_hday"), "left")
+    j = df.join(cal, F.col(day) == F.col("_hday"), "left")
     return j.withColumn("is_holiday", F.col("_hday").isNotNull().cast("int")).drop("_hday")
 
 

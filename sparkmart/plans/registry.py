@@ -27,6 +27,7 @@ PLAN_MODULES = (
     "sparkmart.plans.basket",
     "sparkmart.plans.segments",
     "sparkmart.plans.pages",
+    "sparkmart.plans.stores",
 )
 
 
