@@ -9,12 +9,14 @@ third of the data.  Instead we
    partition contents are fixed even if executors are lost;
 2. turn (partition id, position) into a dense global index using the
    per-partition row counts (one small row per partition, broadcast);
-3. look up neighbours by joining on ``index - k`` (an equi-join on a unique
-   key, evenly spread by hashing).
+3. look up neighbours inside blocks of successive indexes, each block with the
+   last rows of the one before it (one shuffle, no row sent more than twice).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from sparkmart.session import reliable_checkpoint, shuffle_partitions
 
 IDX = "_seq_idx"
+BLOCK = 1 << 12                          # successive indexes that one window looks at
 
 
 def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = IDX,
@@ -79,27 +82,19 @@ def previous_rows(indexed: DataFrame, key_cols: list[str], value_cols: list[str]
     """For each row add ``{col}_lag{k}``: the value ``k`` rows earlier in the
     index order, or NULL when that row belongs to another key (or is absent).
 
-    One shuffle: each row is emitted once per offset towards ``idx + k`` and
-    the copies are gathered by target index (at most ``len(lags)+1`` rows per
-    group, so no group can be large).
+    One shuffle by blocks of ``BLOCK`` successive indexes, so a hot key is
+    spread over its blocks; the last rows of a block, as many as the longest
+    lag, are also sent to the next one, where they are only looked back at.
     """
-    offs = [0] + sorted(set(lags))
-    payload = key_cols + value_cols
-    copies = indexed.select(
-        F.explode(F.array(*[F.lit(k) for k in offs])).alias("_k"), idx_col, *payload)
-    copies = copies.withColumn("_target", F.col(idx_col) + F.col("_k"))
-    aggs = []
-    for k in offs:
-        pick = F.col("_k") == k
-        for c in payload:
-            aggs.append(F.max(F.when(pick, F.col(c))).alias(f"_{c}__{k}"))
-    gathered = copies.groupBy("_target").agg(*aggs, F.max(F.when(F.col("_k") == 0, 1)).alias("_self"))
-    gathered = gathered.filter(F.col("_self") == 1)
-    out = [F.col("_target").alias(idx_col)] + [F.col(f"_{c}__0").alias(c) for c in payload]
-    for k in offs[1:]:
-        same_key = F.lit(True)
-        for kc in key_cols:
-            same_key = same_key & (F.col(f"_{kc}__{k}") == F.col(f"_{kc}__0"))
-        for c in value_cols:
-            out.append(F.when(same_key, F.col(f"_{c}__{k}")).alias(f"{c}_lag{k}"))
-    return gathered.select(*out)
+    payload, reach = key_cols + value_cols, max(lags)
+    own = F.expr(f"{idx_col} div {BLOCK}")
+    both = F.when(F.pmod(F.col(idx_col), F.lit(BLOCK)) >= BLOCK - reach, F.array(own, own + 1)).otherwise(F.array(own))
+    w = Window.partitionBy("_block").orderBy(idx_col)
+    seen = (indexed.select(idx_col, *payload, F.explode(both).alias("_block"))
+            .select("*", *[F.lag(F.struct(*payload), k).over(w).alias(f"_before{k}") for k in sorted(set(lags))])
+            .where(F.col("_block") == own))
+    out = [F.col(idx_col), *map(F.col, payload)]
+    for k in sorted(set(lags)):
+        same_key = reduce(lambda a, b: a & b, [F.col(f"_before{k}.{c}") == F.col(c) for c in key_cols], F.lit(True))
+        out += [F.when(same_key, F.col(f"_before{k}.{c}")).alias(f"{c}_lag{k}") for c in value_cols]
+    return seen.select(*out)

@@ -91,3 +91,17 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.columns[0] == "CustomerID"
     assert df.count() > 0
+
+
+def test_previous_rows_across_blocks(spark, monkeypatch):
+    from sparkmart.operators import sequence
+    monkeypatch.setattr(sequence, "BLOCK", 4)
+    rows = spark.createDataFrame([("a" if i < 10 else "b", i, i * i) for i in range(23)], "k string, i long, v long")
+    for start in (0, 1):
+        got = {r["i"]: r for r in previous_rows(dense_index(rows, ["k", "i"], start=start), ["k"], ["i", "v"], [1, 3]).collect()}
+        assert len(got) == 23
+        for i, r in got.items():
+            first = 0 if i < 10 else 10
+            for lag in (1, 3):
+                j = i - lag
+                assert (r[f"i_lag{lag}"], r[f"v_lag{lag}"]) == ((j, j * j) if j >= first else (None, None))
