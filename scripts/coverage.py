@@ -48,7 +48,7 @@ WHERE = {
     "A14": "operators/quantiles.exact_quantiles, profile.describe", "A15": "operators/segment.single_cluster_inertia",
     "A16": "operators/interpret.classification_metrics", "A17": "operators/profile.correlation_long",
     "A18": "operators/profile.monthly_growth", "A19": "operators/profile.row_counts",
-    "W1": "operators/rfm.invoice_gaps (sequence.previous_rows)", "W2": "operators/rfm.recency_features",
+    "W1": "operators/rfm.owned_invoices, invoice_gaps (sequence.previous_rows)", "W2": "operators/rfm.recency_features",
     "W3": "operators/rfm.recency_features", "W4": "operators/rfm.customer_profile (compat flag)",
     "W5": "operators/interpret.top_features", "W6": "operators/series.add_lags", "W7": "operators/series.add_sma",
     "W8": "operators/series.add_sma(lagged=True)", "W9": "operators/series.autocorrelation", "W10": "operators/series.spectrum",
