@@ -93,7 +93,7 @@ def main() -> None:
     print("| ID | Implementation (under `sparkmart/`) | Registered queries |")
     print("| --- | --- | --- |")
     for i in WHERE:
-        qs = ", ".join(sorted(set(by_id.get(i, [])))) or "unit tests"
+        qs = ", ".join(sorted(set(by_id.get(i, [])))) or ("—" if WHERE[i].startswith("not ") else "unit tests")
         print(f"| {i} | {WHERE[i]} | {qs} |")
 
 

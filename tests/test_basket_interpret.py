@@ -79,6 +79,9 @@ def test_interpreter_importance_and_gate(spark):
            for r in interpret.permutation_importance(model, df, cols, n_repeats=2).collect()}
     # a constant feature cannot matter
     assert all(imp[(c, "const")] == 0 for c in (0.0, 1.0, 2.0))
+    whole = {r.feature: r.importance
+             for r in interpret.permutation_importance(model, df, cols, group_col=None, n_repeats=3).collect()}
+    assert whole["const"] == 0 and max(whole.values()) > 0.1
     top = interpret.top_features(interpret.permutation_importance(model, df, cols, n_repeats=2), n=2)
     assert top.filter(F.col("rank_important") == 1).count() == 3
     # retrain gate branches
