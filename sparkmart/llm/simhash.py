@@ -223,8 +223,9 @@ def hex_of(fp: Column) -> Column:
 def keep_one(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> DataFrame:
     """One row of each group of near-duplicates, with all columns: the one with
     the smallest doc_id (any one of the rows that repeat it).  Rows without a
-    doc_id stay only if no row of their group has one.  The text is not
-    shuffled but for rows that repeat a doc_id."""
+    doc_id stay only if no row of their group has one.  The rows that go are
+    told by doc_id; where that list is too long for Spark to broadcast, the
+    texts are shuffled once by doc_id."""
     found = reliable_checkpoint(near_duplicates(docs, shingle_words, most))
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"), F.col("fp").alias("_gone_fp")).distinct()
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_again"))
