@@ -198,10 +198,11 @@ def links(prints: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataF
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text).
+    """(doc_id, fp, component_id, component) of every row of ``docs`` (doc_id, text).
 
     Fingerprints of at most ``most`` differing bits link; component_id is the
-    smallest doc_id that links reach, the row's own included.  Null and empty
+    smallest doc_id that links reach, the row's own included; component is the
+    least fingerprint they reach, which no two components share.  Null and empty
     texts have fingerprint 0 and link like any other.  Repeated rows are kept as
     they are.  A null doc_id is never the smallest; a component without any
     doc_id has a null component_id.  Extra columns are ignored.
@@ -212,8 +213,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> D
     of = (prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
           .select("fp", "least", F.coalesce("component", "fp").alias("component")))
     least = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = reliable_checkpoint(of.join(least, "component").select("fp", "component_id"))
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = reliable_checkpoint(of.join(least, "component").select("fp", "component_id", "component"))
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "component")
 
 
 def hex_of(fp: Column) -> Column:
@@ -223,23 +224,27 @@ def hex_of(fp: Column) -> Column:
 def keep_one(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> DataFrame:
     """One row of each group of near-duplicates, with all columns: the one with
     the smallest doc_id (any one of the rows that repeat it).  Rows without a
-    doc_id stay only if no row of their group has one.  The rows that go are
-    told by doc_id; where that list is too long for Spark to broadcast, the
-    texts are shuffled once by doc_id."""
+    doc_id stay only if no row of their group has one, and then one of them.  The
+    rows that go are told by doc_id, and by fingerprint where an id is null or
+    repeated; where that list is too long for Spark to broadcast, the texts are
+    shuffled once by those keys."""
     found = reliable_checkpoint(near_duplicates(docs, shingle_words, most))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"), F.col("fp").alias("_gone_fp")).distinct()
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_again"))
-    nameless = found.where("doc_id IS NULL AND component_id IS NOT NULL").select(F.col("fp").alias("_fp")).distinct()
-    unnamed, again = bool(nameless.limit(1).count()), bool(repeated.limit(1).count())
-    columns = docs.columns
-    if unnamed or again:                         # an id alone does not tell the rows apart
-        docs = docs.withColumn("_own", fingerprint(F.col("text"), shingle_words))
-    if unnamed:
-        docs = docs.join(nameless, F.col("doc_id").isNull() & (F.col("_own") == F.col("_fp")), "left_anti")
-    same_row = F.col("doc_id") == F.col("_gone")
-    left = docs.join(gone, same_row & (F.col("_own") == F.col("_gone_fp")) if again else same_row, "left_anti").select(*columns)
-    if not again:
-        return left
-    same = F.col("doc_id").eqNullSafe(F.col("_again"))
-    return left.join(repeated, same, "left_anti").unionByName(
-        left.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+    unclear = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    if not unclear.limit(1).count():
+        gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # an id alone does not tell the rows apart: id and fingerprint do, but for copies
+    rows = found.groupBy("doc_id", "fp", "component_id", "component").agg(F.count("*").alias("n"))
+    kept = reliable_checkpoint(
+        rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("component")))
+        .agg(F.min(F.struct("fp", "doc_id", "n")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_fp"), "k.n"))
+    gone = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")), "left_anti").select(
+        F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
+    copies = kept.where("n > 1").select("_id", "_fp")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_fp"))
+    left = docs.withColumn("_own", fingerprint(F.col("text"), shingle_words)).join(gone, same, "left_anti")
+    if copies.limit(1).count():
+        left = left.join(copies, same, "left_anti").unionByName(
+            left.join(copies, same, "left_semi").dropDuplicates(["doc_id", "_own"]))
+    return left.drop("_own")

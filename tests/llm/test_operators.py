@@ -96,6 +96,17 @@ def test_simhash(spark, docs):
     assert sorted((r.doc_id, r.text == TEXTS[9]) for r in simhash.keep_one(torn).collect()) == [(3, False), (5, True)]
 
 
+def test_keep_one_without_ids(spark):
+    texts = [TEXTS[9], TEXTS[14], TEXTS[15], TEXTS[9], TEXTS[16], TEXTS[8]]
+    ids = [None, None, None, None, 4, 4]
+    rows = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id int, text string")
+    assert sorted(r.text for r in simhash.keep_one(rows.limit(4)).collect()) == sorted(texts[:3])
+    assert sorted(r.text for r in simhash.keep_one(rows.limit(5)).collect()) == sorted({*texts[:5]})
+    named = rows.unionByName(spark.createDataFrame([(8, TEXTS[14])], rows.schema)).where("doc_id IS NULL OR doc_id = 8")
+    assert sorted((r.text, r.doc_id) for r in simhash.keep_one(named).collect()) == sorted(
+        [(TEXTS[9], None), (TEXTS[15], None), (TEXTS[14], 8)])
+
+
 @pytest.mark.parametrize("cell_rows", [4096, 16])
 def test_simhash_links(spark, cell_rows):
     """Chains, balls and strangers; small cells, large ones and cells dealt as block pairs."""
