@@ -237,8 +237,8 @@ def keep_one(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> DataFram
     rows = found.groupBy("doc_id", "fp", "component_id", "component").agg(F.count("*").alias("n"))
     kept = reliable_checkpoint(
         rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("component")))
-        .agg(F.min(F.struct("fp", "doc_id", "n")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_fp"), "k.n"))
+        .groupBy("component").agg(F.min(F.struct("fp", "doc_id", "n")).alias("k")).select(
+            F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_fp"), "k.n"))
     gone = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")), "left_anti").select(
         F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
     copies = kept.where("n > 1").select("_id", "_fp")

@@ -107,6 +107,12 @@ def test_keep_one_without_ids(spark):
         [(TEXTS[9], None), (TEXTS[15], None), (TEXTS[14], 8)])
 
 
+def test_keep_one_least_id_of_two_groups(spark):
+    twice = spark.createDataFrame([(5, TEXTS[8]), (5, TEXTS[9]), (9, TEXTS[13])], "doc_id int, text string")
+    assert len({r.component for r in simhash.near_duplicates(twice).collect()}) == 2
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(twice).collect()) == sorted([(5, TEXTS[8]), (5, TEXTS[9])])
+
+
 @pytest.mark.parametrize("cell_rows", [4096, 16])
 def test_simhash_links(spark, cell_rows):
     """Chains, balls and strangers; small cells, large ones and cells dealt as block pairs."""
