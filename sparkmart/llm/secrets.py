@@ -34,13 +34,24 @@ class Rule:
     group: int = 0
 
 
+# A private key reaches to the END line of its kind, or without one before the
+# next header over the base64 lines that follow.  Every repeat is possessive and
+# stops at the next header, so all matches of a text take linear time.
+_LINE = r"(?:[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t>]*+)"          # also the two characters \\n of a quoted text
+_BASE64 = rf"[A-Za-z0-9+/]++={{0,2}}+(?={_LINE}|[\x20\t]*+(?:\Z|[\"'<]))"
+PRIVATE_KEY = (
+    r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?:"
+    r"(?:[^-]++|-(?!----(?:BEGIN|END) [A-Z ]*PRIVATE KEY-----))*+-----END \1PRIVATE KEY-----|"
+    rf"(?:{_LINE}(?:Proc-Type|DEK-Info|Comment|Version):[^\n\\]*+)*+(?:{_LINE}++{_BASE64})?+(?:{_LINE}{_BASE64})*+"
+    r"(?:[\x20\t]++[A-Za-z0-9+/]{40,}+={0,2}+(?![^\s\"'<\\]))*+)")           # lines joined by spaces
+
 BASE_RULES = (
     Rule("assign", r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]{24,}", 24),             # the maximal runs, without visiting each short one
 )
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),

@@ -170,6 +170,21 @@ def test_secrets(spark, docs):
     assert secrets.find_secrets(_empty(docs)).count() == 0
 
 
+def test_private_key_bodies(spark):
+    line, end = "MIIEpAIBAAKCAQEA" + "x9Y+" * 12, "-----END RSA PRIVATE KEY-----"
+    head, body = end.replace("END", "BEGIN"), f"{line}\n{line}\nAb+Q=="
+    cases = [(f"a {head}\n{body}\n{end} b", "a [secret] b"),
+             (f"a {head}\nProc-Type: 4,ENCRYPTED\n\n{body}\n{end}\nb", "a [secret]\nb"),
+             (f"a {head}\n{body}\n\nsome words\n{head}\n{body}\n{end}", "a [secret]\n\nsome words\n[secret]"),
+             (f'"{head}\n{body}\n", b'.replace("\n", "\\n"), '"[secret]\\n", b'),
+             (f"{head}\n{body}\n-----END EC PRIVATE KEY-----", "[secret]\n-----END EC PRIVATE KEY-----"),
+             (f"{head}\r\n{line}", "[secret]"), (f"{head} and so on", "[secret] and so on"),
+             (f"{head}\n" * 20_000, "[secret]\n" * 20_000)]                     # in linear time
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, text string")
+    got = {r.i: r.t for r in rows.select("i", secrets.redact(F.col("text")).alias("t")).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
 def test_trigram_queries_are_necessary():
     for rule in secrets.RULES:
         query = trigrams.trigram_query(rule.pattern)
