@@ -2,9 +2,11 @@
 
 Terms are the distinct words of a text and the words' beginnings of 4 and 6
 bytes, so inflected forms share evidence.  The linear weights are learned with
-an L1 term that leaves common words at zero; each term with a weight also has
+an L1 term that leaves common words at zero.  Every term of the sample has
 FACTORS latent factors, whose products score pairs of terms, such as an insult
-with a group mention.  The mean of several machines is no machine (their factors turn
+with a group mention, also where each term alone tells nothing.  A text's sum of
+pairs is divided by the root of its number of terms, so the many pairs of a long
+text do not drown the rest.  The mean of several machines is no machine (their factors turn
 freely), so one task trains on the whole bounded sample.
 """
 
@@ -38,7 +40,7 @@ def terms(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 3, alpha: float = 4.0, beta: float = 1.0,
         l1: float = 2.5, rate: float = 0.05, decay: float = 1e-3) -> list[np.ndarray]:
     """Follow-the-regularised-leader steps for the linear weights, adaptive
-    gradient steps for the factors of the terms in use.
+    gradient steps for the factors of all terms, shrunk by ``decay``.
 
     The bias is the sample's log odds.  A weight stays zero until the sum of its
     gradients exceeds ``l1`` times their root sum of squares (once at least), so
@@ -58,32 +60,31 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 3, alpha:
     for _ in range(epochs):
         for y, index, _ in rows:
             w = weights(index)
-            used = index[w != 0]
-            v = factors[used]
+            v = factors[index]
+            scale = 1 / np.sqrt(max(1, len(index)))
             total = v.sum(axis=0)
-            logit = bias + w.sum() + 0.5 * (total @ total - (v * v).sum())
+            logit = bias + w.sum() + 0.5 * scale * (total @ total - (v * v).sum())
             g = 1 / (1 + np.exp(-np.clip(logit, -35, 35))) - y
             z[index] += g - (np.sqrt(n[index] + g * g) - np.sqrt(n[index])) / alpha * w
             n[index] += g * g
-            if len(used):
-                step = g * (total - v) + decay * v
-                squares[used] += step * step
-                factors[used] = v - rate * step / np.sqrt(squares[used])
-    w = weights(np.arange(size))
-    factors[w == 0] = 0.0
-    return [np.append(w, bias), factors.reshape(-1)]
+            step = scale * g * (total - v) + decay * v
+            grown = squares[index] + step * step
+            squares[index] = grown
+            factors[index] = v - rate * step / np.sqrt(grown)
+    factors[n == 0] = 0.0                                        # terms that the sample does not hold
+    return [np.append(weights(np.arange(size)), bias), factors.reshape(-1)]
 
 
 def _logits(model: list[np.ndarray], row: np.ndarray, index: np.ndarray, texts: int) -> np.ndarray:
     w, factors = model[0], model[1].reshape(-1, FACTORS)
-    used = w[index] != 0
-    pairs = np.unique(row[used] * (1 << BITS) + index[used])
+    pairs = np.unique(row * (1 << BITS) + index)
     row, index = pairs >> BITS, pairs & ((1 << BITS) - 1)
+    scale = 1 / np.sqrt(np.maximum(1, np.bincount(row, minlength=texts)))
     out = w[-1] + np.bincount(row, weights=w[index], minlength=texts)
     for f in range(FACTORS):
         v = factors[index, f]
         total = np.bincount(row, weights=v, minlength=texts)
-        out += 0.5 * (total * total - np.bincount(row, weights=v * v, minlength=texts))
+        out += 0.5 * scale * (total * total - np.bincount(row, weights=v * v, minlength=texts))
     return out
 
 

@@ -227,6 +227,15 @@ def test_classifiers(spark, docs, labels, module, label):
     assert run(_empty(docs), labels).count() == 0
 
 
+def test_toxic_pairs(spark):
+    """The label depends on two words together; each word alone is balanced."""
+    rows = [(i, f"{_prose(9)} {('group', 'folks')[i % 2]} {_prose(9)} {('insult', 'praise')[i // 2 % 2]}") for i in range(1000)]
+    many = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, int(i % 2 == i // 2 % 2)) for i in range(1000)], "doc_id bigint, toxic int")
+    held = [r for r in toxicity.score_toxicity(many, marks).collect() if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 2 == r.doc_id // 2 % 2) for r in held) >= 0.95 * len(held) > 100
+
+
 def test_url_filter(spark):
     listed = spark.createDataFrame([("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
                                     ("Org", None, "block"), ("org", "", "allow"), (None, "/", "block"), ("x.org", "/", None)],
