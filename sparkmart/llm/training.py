@@ -1,8 +1,8 @@
 """What both text classifiers share: the bounded labelled sample, training in
 shards whose models are averaged, and scoring of whole texts by a broadcast model.
 
-The sample holds at most ``max_rows`` labelled documents, those with the least
-hash of their doc_id, so it does not depend on partitions or their order.  It is
+The sample holds at most ``max_rows`` documents that are there and labelled, a
+row each, those with the least hash of their doc_id, so it does not depend on partitions or their order.  It is
 dealt to SHARDS tasks; each returns one model of a fixed size, and the driver
 only ever holds SHARDS models.
 """
@@ -33,12 +33,15 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, max_rows: int) -> DataFrame:
     """(doc_id, y, text) of the training rows; repeated labels of a document count
-    once (the greatest), null ids and labels never."""
+    once (the greatest), null ids and labels never.  Of the rows that repeat a
+    doc_id, the one whose text has the least hash counts."""
     chosen = (labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y"))
               .where("doc_id IS NOT NULL AND y IS NOT NULL").where(~held_out(F.col("doc_id"), folds, fold))
               .groupBy("doc_id").agg(F.max("y").alias("y"))
+              .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "y", "text")
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y")
+            .agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")))
 
 
 def train(sample: DataFrame, terms: Terms, fit: Callable[[list[tuple[int, np.ndarray, np.ndarray]]], list[np.ndarray]],

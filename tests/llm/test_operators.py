@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from sparkmart.llm import (bpe, chat, covertree, decontaminate, graph, kneserney, quality, secrets, simhash, toxicity,
-                           trigrams, urlfilter)
+                           training, trigrams, urlfilter)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -227,6 +227,15 @@ def test_classifiers(spark, docs, labels, module, label):
     assert run(_empty(docs), labels).count() == 0
 
 
+def test_labelled_sample_counts_present_documents(spark):
+    """Neither labels of absent documents nor repeated documents use up the bound."""
+    rows = spark.createDataFrame([(i % 40, f"text {i}") for i in range(400)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id bigint, quality int")
+    got = training.labelled_sample(rows, marks, "quality", 4, 2, 20).collect()
+    assert len(got) == 20 == len({r.doc_id for r in got})
+    assert all(r.y == r.doc_id % 2 and int(r.text[5:]) % 40 == r.doc_id for r in got)
+
+
 def test_toxic_pairs(spark):
     """The label depends on two words together; each word alone is balanced."""
     rows = [(i, f"{_prose(9)} {('group', 'folks')[i % 2]} {_prose(9)} {('insult', 'praise')[i // 2 % 2]}") for i in range(1000)]
