@@ -23,18 +23,31 @@ from sparkmart.operators import series
 DAY = series.DAY
 
 
-def lag_frame(daily: DataFrame, target: str, lags: list[int]) -> DataFrame:
-    """W6 features: the target lagged by each n in ``lags``; rows whose
-    features are incomplete (the first max(lags) days) are dropped (F14)."""
-    d = series.add_lags(daily.select(DAY, F.col(target).cast("double").alias(target)), {target: lags})
-    return d.na.drop("any")
+def _doubles(daily: DataFrame, columns: list[str]) -> DataFrame:
+    return daily.select(DAY, *[F.col(c).cast("double").alias(c) for c in columns])
 
 
-def lagged_sma_frame(daily: DataFrame, target: str, window: int) -> DataFrame:
-    """W8 features: SMA over ``window`` days shifted by ``window`` days."""
-    d = series.add_sma(daily.select(DAY, F.col(target).cast("double").alias(target)), target, [window],
-                       lagged=True, digits=10)
-    return d.na.drop("any")
+def _others(daily: DataFrame, target: str) -> list[str]:
+    """The daily columns beside the target."""
+    return [c for c in daily.columns if c not in (DAY, target)]
+
+
+def lag_frame(daily: DataFrame, target: str, lags: list[int], others: list[str] | None = None) -> DataFrame:
+    """W6 features: the target, and each column of ``others``, lagged by each n
+    in ``lags``; rows whose features are incomplete (the first max(lags) days)
+    are dropped (F14).  ``others`` are lagged too: their values of the same day
+    tell the target's."""
+    others = others or []
+    d = series.add_lags(_doubles(daily, [target, *others]), {c: lags for c in (target, *others)})
+    return d.drop(*others).na.drop("any")
+
+
+def lagged_sma_frame(daily: DataFrame, target: str, window: int, others: list[str] | None = None) -> DataFrame:
+    """W8 features: SMA over ``window`` days shifted by ``window`` days, and the
+    columns of ``others`` shifted alike."""
+    others = others or []
+    d = series.add_sma(_doubles(daily, [target, *others]), target, [window], lagged=True, digits=10)
+    return series.add_lags(d, {c: [window] for c in others}).drop(*others).na.drop("any")
 
 
 def _model(kind: str, label: str, params: dict | None = None, seed: int = 0):
@@ -78,13 +91,15 @@ def fold_scores(frame: DataFrame, label: str, features: list[str], kind: str = "
 
 def lag_cross_validation(daily: DataFrame, target: str = "total_qty", lag_sets=((3,), (6,), (9,), (12,)),
                          kinds=("tree", "gbt"), n_splits: int = 5) -> DataFrame:
-    """Mean fold scores for each model kind and lag set."""
+    """Mean fold scores for each model kind and lag set; all columns of
+    ``daily`` are features, lagged."""
     spark = daily.sparkSession
+    others = _others(daily, target)
     jobs = []
     for lags in lag_sets:
-        frame = lag_frame(daily, target, list(lags))
+        frame = lag_frame(daily, target, list(lags), others)
         folded = with_folds(frame, n_splits)
-        feats = [f"{target}_lag{n}" for n in lags]
+        feats = [f"{c}_lag{n}" for c in (target, *others) for n in lags]
         for kind in kinds:
             for f in range(n_splits):
                 jobs.append((",".join(map(str, lags)), kind, folded, feats, f))
@@ -95,17 +110,19 @@ def lag_cross_validation(daily: DataFrame, target: str = "total_qty", lag_sets=(
                                            F.avg("mae").alias("mae"))
 
 
-def sma_cross_validation(daily: DataFrame, target: str = "total_qty", windows=range(1, 16), kind: str = "tree",
+def sma_cross_validation(daily: DataFrame, target: str = "total_qty", windows=range(1, 16), kind: str = "gbt",
                          n_splits: int = 5) -> DataFrame:
-    """Mean fold scores for each lagged-SMA window."""
+    """Mean fold scores of the boosted model for each lagged-SMA window,
+    with the other columns of ``daily`` lagged by as many days."""
     spark = daily.sparkSession
+    others = _others(daily, target)
     jobs = []
     for w in windows:
-        folded = with_folds(lagged_sma_frame(daily, target, w), n_splits)
-        jobs += [(int(w), folded, f) for f in range(n_splits)]
+        folded = with_folds(lagged_sma_frame(daily, target, w, others), n_splits)
+        feats = [f"{target}_lag_sma{w}", *[f"{c}_lag{w}" for c in others]]
+        jobs += [(int(w), folded, feats, f) for f in range(n_splits)]
     with ThreadPoolExecutor(max_workers=8) as pool:
-        res = list(pool.map(lambda j: (j[0],) + _score_fold(j[1], j[2], target, [f"{target}_lag_sma{j[0]}"], kind,
-                                                            None, 0)[1:], jobs))
+        res = list(pool.map(lambda j: (j[0],) + _score_fold(j[1], j[3], target, j[2], kind, None, 0)[1:], jobs))
     df = spark.createDataFrame(res, "window int, r2 double, rmse double, mae double")
     return df.groupBy("window").agg(F.avg("r2").alias("r2"), F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"))
 

@@ -194,19 +194,19 @@ def daily_label_counts(spark, sf_dir):
 
 @register("sma_cv_scores", covers=("M22", "W8", "W12"))
 def sma_cv_scores(spark, sf_dir):
-    """Decision-tree regressors on lagged moving averages of 1 to 15 days, expanding folds."""
+    """Boosted regressors on lagged moving averages of 1 to 15 days beside the other lagged daily columns, expanding folds."""
     from sparkmart.operators import forecast
     from sparkmart.session import reliable_checkpoint
-    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty"))
+    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty", "all_qty", "total_unique_item"))
     return forecast.sma_cross_validation(daily, "total_qty")
 
 
 @register("lag_cv_scores", covers=("M21", "W6", "W12", "F14"))
 def lag_cv_scores(spark, sf_dir):
-    """Decision-tree and GBT regressors on lag features, expanding folds."""
+    """Decision-tree and GBT regressors on lags of the daily columns, expanding folds."""
     from sparkmart.operators import forecast
     from sparkmart.session import reliable_checkpoint
-    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty"))
+    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty", "all_qty", "total_unique_item"))
     return forecast.lag_cross_validation(daily, "total_qty", lag_sets=((3,), (6,), (9,), (12,)),
                                          kinds=("tree", "gbt"), n_splits=5)
 

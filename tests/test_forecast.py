@@ -9,3 +9,16 @@ def test_random_search_scores_each_draw_on_time_folds(spark):
     best, rmse = forecast.random_search(frame, "total_qty", ["total_qty_lag7"], n_draws=2, n_splits=2)
     assert set(best) == {"maxDepth", "maxIter", "stepSize", "subsamplingRate"}
     assert 0 <= rmse < 2                # the series repeats every week, its spread is 2
+
+
+def test_validations_learn_from_the_other_daily_columns(spark):
+    """The target is yesterday's other column, and its own past tells nothing."""
+    side = [(i * i * 7919 + i * 104729) % 97 for i in range(160)]
+    days = spark.createDataFrame([(dt.date(2024, 1, 1) + dt.timedelta(days=i), float(side[i - 1]), side[i]) for i in range(1, 160)],
+                                 "InvoiceDate date, total_qty double, all_qty int")
+    frame = forecast.lagged_sma_frame(days, "total_qty", 1, ["all_qty"])
+    assert frame.columns == ["InvoiceDate", "total_qty", "total_qty_lag_sma1", "all_qty_lag1"]
+    assert all(r.total_qty == r.all_qty_lag1 for r in frame.collect())
+    for out in (forecast.sma_cross_validation(days, windows=[1], n_splits=2),
+                forecast.lag_cross_validation(days, lag_sets=((1,),), kinds=("tree",), n_splits=2)):
+        assert out.first().r2 > 0.8
