@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, covertree, decontaminate, kneserney, quality, secrets, simhash, toxicity, urlfilter
+from . import (bpe, chat, covertree, decontaminate, divergence, kneserney, packing, quality, secrets, simhash, toxicity, urlfilter,
+               whitening)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER_FILE = "byte_bpe_50k.json"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,10 +127,54 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_FILE), with_ids=False)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond a long is null here; the operator's own column holds it whole."""
+    found = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "deviation", "n", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained"))).select(
+        "vec_id", (F.col("pos") + 1).alias("component"), "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "col.whitened", "col.explained", "identity_error")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_read(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words, row_number() OVER () AS r FROM documents),
+w AS (SELECT lang, source, r, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lc FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(lc) AS ln FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM w GROUP BY lang, source, term),
+x AS (SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c, lc, v, ln, sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n
+      FROM g JOIN kept ON kept.lang = g.lang JOIN v ON v.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT lang, source, term, c, CAST(1 + 1000000000 * (c + 2)::HUGEINT // (n + 2 * v) AS HUGEINT) AS p,
+             CAST(1 + 1000000000 * (lc + 2)::HUGEINT // (ln + 2 * v) AS HUGEINT) AS q FROM x),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                     FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) s
+          ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+every AS (SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value FROM pairs
+          UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_url_filter, op4_chat_format, op5_secrets,
-                                   op6_embedding_dedup, op7_byte_bpe, op8_lm_scoring, op9_simhash, op10_quality)}
+                                   op6_embedding_dedup, op7_byte_bpe, op8_lm_scoring, op9_simhash, op10_quality,
+                                   op11_packing, op12_whitening, op13_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": OP3_SQL, "op4_chat_format": OP4_SQL}
+    return {"op3_url_filter": OP3_SQL, "op4_chat_format": OP4_SQL, "op13_divergence": OP13_SQL}
