@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkmart.operators import interpret, rfm, segment
+from sparkmart.operators import boosting, interpret, rfm, segment
 from sparkmart.plans.registry import register
 from sparkmart.plans.retail import RFM_CTES
 from sparkmart.plans.sqltext import with_fact
@@ -75,6 +75,21 @@ def label_agreement_metrics(spark, sf_dir):
     return interpret.classification_metrics(lab, "toxic", "quality")
 
 
+_REPORT_SQL = """
+WITH conf AS (SELECT CAST(toxic AS DOUBLE) AS y, CAST(quality AS DOUBLE) AS p, count(*) AS n FROM labels GROUP BY 1, 2),
+cls AS (SELECT y AS c FROM conf UNION SELECT p FROM conf),
+per AS (SELECT c.c, coalesce(sum(n) FILTER (y = c.c AND p = c.c), 0) AS tp, coalesce(sum(n) FILTER (y = c.c), 0) AS nt,
+               coalesce(sum(n) FILTER (p = c.c), 0) AS np FROM cls c, conf GROUP BY c.c)
+SELECT c AS class, round(CASE WHEN np > 0 THEN tp / np ELSE 0.0 END, 4) AS precision, round(CASE WHEN nt > 0 THEN tp / nt ELSE 0.0 END, 4) AS recall,
+       round(2 * tp / (nt + np), 4) AS f1_score, CAST(nt AS BIGINT) AS support FROM per"""
+
+
+@register("label_class_report", oracle=_REPORT_SQL, covers=("M16",))
+def label_class_report(spark, sf_dir):
+    """Precision, recall, F1 and support by class of the same pair of labels."""
+    return interpret.class_report(table(spark, sf_dir, "labels"), "toxic", "quality")
+
+
 def _segment_scores(spark, sf_dir):
     sc = segment.robust_scale(_profile(spark, sf_dir))
     seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"),
@@ -121,13 +136,59 @@ def customer_segments(spark, sf_dir):
     return out
 
 
-@register("cluster_importance", covers=("M7", "M8", "M11", "M12", "M13"))
+def labelled_customers(spark, sf_dir):
+    """The profile with its k-means cluster, written once."""
+    return reliable_checkpoint(segment.segment_customers(_profile(spark, sf_dir))[0])
+
+
+@register("cluster_importance", covers=("M7", "M8", "M9", "M11", "M12", "M13"))
 def cluster_importance(spark, sf_dir):
-    prof = _profile(spark, sf_dir)
-    labelled, _, _, _ = segment.segment_customers(prof)
-    labelled = reliable_checkpoint(labelled)
-    res = interpret.interpret_clusters(labelled, n_draws=3, folds=3, n_repeats=5)
-    return res["top"]
+    """The interpreter of the published search (10 draws, 10 folds) and its clusters' top features."""
+    return interpret.interpret_clusters(labelled_customers(spark, sf_dir), n_draws=10, folds=10, n_repeats=5)["top"]
+
+
+# The published interpreter's parameters.
+PUBLISHED = boosting.Params(rounds=200, rate=0.5, depth=6, leaves=63)
+
+
+@register("feature_importance", covers=("M8", "M11", "M17"))
+def feature_importance(spark, sf_dir):
+    """50 repeats of permutation importance, of all customers and by cluster, for boosted
+    trees of the published parameters."""
+    labelled = labelled_customers(spark, sf_dir)
+    train, _ = interpret.holdout_split(labelled)
+    model = boosting.fit(train, list(FEATS), interpret.LABEL, segment.KEY, PUBLISHED, True)
+    whole = interpret.permutation_importance(model, labelled, FEATS, group_col=None, n_repeats=50)
+    each = interpret.permutation_importance(model, labelled, FEATS, n_repeats=50)
+    return whole.select(F.lit("all").alias("scope"), "feature", "importance").unionByName(
+        each.select(F.col("cluster").cast("int").cast("string").alias("scope"), "feature", "importance"))
+
+
+_GAIN_BINS, _GAIN_ROWS = 32, 20
+_GAIN_SQL = with_fact(extra_ctes=RFM_CTES + """,
+lab AS (SELECT p.*, CASE c.c_mktsegment """ + " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(
+    ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))) + """ END AS y FROM profile p JOIN customer c ON p.CustomerID = c.c_custkey),
+k AS (SELECT count(DISTINCT y) AS k FROM lab),
+long AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, y FROM lab" for c in FEATS) + f"""),
+run AS (SELECT *, (count(*) OVER (PARTITION BY feature ORDER BY v) - 1) * {_GAIN_BINS} // count(*) OVER (PARTITION BY feature) AS r FROM long),
+edge AS (SELECT feature, r, max(v) AS upper, max(max(r)) OVER (PARTITION BY feature) AS last FROM run GROUP BY feature, r),
+cls AS (SELECT DISTINCT y AS class FROM lab),
+side AS (SELECT e.feature, e.upper, c.class, count(*) FILTER (v <= upper) AS nl, count(*) AS n,
+                count(*) FILTER (v <= upper AND y = class) AS yl, count(*) FILTER (y = class) AS yn
+         FROM edge e JOIN long l ON l.feature = e.feature JOIN cls c ON TRUE WHERE e.r < e.last GROUP BY ALL),
+sums AS (SELECT *, nl / k.k - yl AS gl, n / k.k - yn AS g, nl * (1 / k.k) * (1 - 1 / k.k) AS hl, n * (1 / k.k) * (1 - 1 / k.k) AS h FROM side, k)""",
+    body=f"""SELECT CAST(class AS DOUBLE) AS class, feature, upper, nl AS left_rows,
+       round(gl * gl / hl + (g - gl) * (g - gl) / (h - hl) - g * g / h, 4) AS gain
+FROM sums WHERE least(nl, n - nl) >= {_GAIN_ROWS}""")
+
+
+@register("root_split_gains", oracle=_GAIN_SQL, covers=("M8", "M16"))
+def root_split_gains(spark, sf_dir):
+    """The gain of every possible first split of the boosted trees of the market segments."""
+    code = F.array_position(F.array(*map(F.lit, ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"])), F.col("c_mktsegment")) - 1
+    seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"), code.alias("label"))
+    data = boosting.binned(_profile(spark, sf_dir).join(seg, "CustomerID"), list(FEATS), "label", segment.KEY, True, bins=_GAIN_BINS)
+    return boosting.root_gains(data, list(FEATS), boosting.Params(min_rows=_GAIN_ROWS)).withColumn("gain", F.round("gain", 4))
 
 
 @register("silhouette_scores", covers=("M6",))
@@ -136,10 +197,25 @@ def silhouette_scores(spark, sf_dir):
     return spark.createDataFrame(segment.silhouette(sc), "k int, silhouette double")
 
 
+_SIL_SQL = with_fact(extra_ctes=_scaled_cte() + """,
+lab AS (SELECT s.*, c.c_mktsegment AS segment, """ + " + ".join(f"{c} * {c}" for c in FEATS) + """ AS sq
+        FROM scaled s JOIN customer c ON s.CustomerID = c.c_custkey),
+st AS (SELECT segment AS other, count(*) AS n, avg(sq) AS msq, """ + ", ".join(f"avg({c}) AS mu_{c}" for c in FEATS) + """ FROM lab GROUP BY segment),
+d AS (SELECT CustomerID, segment, other, n, sq + msq - 2 * (""" + " + ".join(f"{c} * mu_{c}" for c in FEATS) + """) AS d FROM lab, st),
+ab AS (SELECT CustomerID, segment, max(CASE WHEN other = segment AND n > 1 THEN d * n / (n - 1) END) AS a,
+              min(CASE WHEN other <> segment THEN d END) AS b FROM d GROUP BY 1, 2)""",
+    body="SELECT CustomerID, segment, round(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab")
+
+
+@register("segment_silhouette", oracle=_SIL_SQL, covers=("M6",))
+def segment_silhouette(spark, sf_dir):
+    """Silhouette of every customer in its market segment, squared Euclidean in closed form."""
+    sc = segment.robust_scale(_profile(spark, sf_dir))
+    seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"), F.col("c_mktsegment").alias("segment"))
+    return segment.silhouette_per_sample(sc.join(seg, "CustomerID"), "segment").withColumn("silhouette", F.round("silhouette", 6))
+
+
 @register("surrogate_models", covers=("M15", "M16", "M9"))
 def surrogate_models(spark, sf_dir):
-    """Tree and one-vs-rest boosted surrogates of the customer clusters."""
-    prof = _profile(spark, sf_dir)
-    labelled, _, _, _ = segment.segment_customers(prof)
-    labelled = reliable_checkpoint(labelled)
-    return interpret.surrogate_report(labelled, n_draws=2, folds=2)
+    """Tree and boosted surrogates of the customer clusters, 10 draws on 5 folds each, with their reports."""
+    return interpret.surrogate_report(labelled_customers(spark, sf_dir))

@@ -236,15 +236,18 @@ SELECT DISTINCT CAST(InvoiceDate AS DATE) AS InvoiceDate,
 FROM fact""")
 
 
+def holiday_calendar(spark, sf_dir):
+    day = F.col("o_orderdate")
+    return table(spark, sf_dir, "orders").select("o_orderdate").where(
+        (F.dayofmonth(day) == 1) | ((F.month(day) == 12) & (F.dayofmonth(day) >= 25)))
+
+
 @register("holiday_flags", oracle=_HOLIDAY_SQL, covers=("J7",))
 def holiday_flags(spark, sf_dir):
     """Invoice days flagged by a calendar taken from the order dates: first days
     of a month and the last week of a year, listed once an order."""
     days = transaction_fact(spark, sf_dir).select(F.to_date("InvoiceDate").alias(series.DAY)).distinct()
-    day = F.col("o_orderdate")
-    calendar = table(spark, sf_dir, "orders").select("o_orderdate").where(
-        (F.dayofmonth(day) == 1) | ((F.month(day) == 12) & (F.dayofmonth(day) >= 25)))
-    return series.add_holidays(days, calendar)
+    return series.add_holidays(days, holiday_calendar(spark, sf_dir))
 
 
 _UNRETURNED_SQL = with_fact("""

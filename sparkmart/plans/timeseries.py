@@ -94,6 +94,26 @@ SELECT CAST(row_number() OVER (ORDER BY a DESC, k) AS INTEGER) AS rank, CAST(k A
 FROM amp ORDER BY a DESC, k LIMIT 10""")
 
 
+_ACF_COLUMNS = ["all_qty", "total_unique_item", "all_sales", "refund_sales", "refund_qty", "discount_sales", "free_qty",
+                "total_sales", "total_qty"]
+_ALL_ACF_SQL = with_fact(extra_ctes=_DAILY_CTE + """,
+long AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, InvoiceDate, CAST({c} AS DOUBLE) AS x FROM daily" for c in _ACF_COLUMNS) + """),
+idx AS (SELECT feature, row_number() OVER (PARTITION BY feature ORDER BY InvoiceDate) - 1 AS t, x - avg(x) OVER (PARTITION BY feature) AS d FROM long),
+den AS (SELECT feature, sum(d * d) AS den FROM idx GROUP BY feature),
+lags AS (SELECT range AS lag FROM range(0, 31))""", body="""
+SELECT a.feature, CAST(l.lag AS INTEGER) AS lag, round(CASE WHEN max(den) <> 0 THEN sum(a.d * b.d) / max(den) END, 6) AS acf
+FROM lags l JOIN idx a ON TRUE JOIN idx b ON b.feature = a.feature AND b.t = a.t - l.lag JOIN den ON den.feature = a.feature
+GROUP BY a.feature, l.lag""")
+
+
+@register("daily_acf", oracle=_ALL_ACF_SQL, covers=("W9",))
+def daily_acf(spark, sf_dir):
+    """Autocorrelation of every daily column, all in one pass over the long form."""
+    long = _daily(spark, sf_dir).select(series.DAY, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in _ACF_COLUMNS])).alias("v")).select(series.DAY, "v.*")
+    return series.autocorrelation(long, "x", 30, ["feature"])
+
+
 @register("sales_spectrum", oracle=_FFT_SQL, covers=("W10",))
 def sales_spectrum(spark, sf_dir):
     return series.spectrum(_daily(spark, sf_dir), "total_sales", 10)
@@ -203,18 +223,62 @@ def sma_cv_scores(spark, sf_dir):
 
 @register("lag_cv_scores", covers=("M21", "W6", "W12", "F14"))
 def lag_cv_scores(spark, sf_dir):
-    """Decision-tree and GBT regressors on lags of the daily columns, expanding folds."""
+    """Decision-tree and boosted regressors on lags of the daily columns, expanding folds."""
     from sparkmart.operators import forecast
     from sparkmart.session import reliable_checkpoint
     daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty", "all_qty", "total_unique_item"))
-    return forecast.lag_cross_validation(daily, "total_qty", lag_sets=((3,), (6,), (9,), (12,)),
-                                         kinds=("tree", "gbt"), n_splits=5)
+    return forecast.lag_cross_validation(daily, "total_qty")
 
 
-@register("forecast_scores", covers=("M24", "W13"))
-def forecast_scores(spark, sf_dir):
-    """Final GBT on lags 3..12 vs the train-mean baseline on the last 20 % of days."""
+_MATRIX_SQL = with_fact(extra_ctes=_DAILY_CTE + """,
+seg AS (SELECT CAST(f.InvoiceDate AS DATE) AS d, """ + ", ".join(
+    f"count(DISTINCT f.InvoiceNo) FILTER (WHERE c.c_mktsegment = '{s}') AS cluster_{i}" for i, s in enumerate(SEGMENTS)) + """
+  FROM fact f JOIN customer c ON f.CustomerID = c.c_custkey GROUP BY 1)""",
+    body="SELECT InvoiceDate, CAST(total_qty AS DOUBLE) AS total_qty, "
+    + "CASE WHEN day(InvoiceDate) = 1 OR (month(InvoiceDate) = 12 AND day(InvoiceDate) >= 25) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_holiday, "
+    + "round(avg(total_sales) OVER (w ROWS BETWEEN 13 PRECEDING AND 7 PRECEDING), 4) AS total_sales_lag_sma7, "
+    + ", ".join(f"CAST(lag({c}, {n}) OVER w AS DOUBLE) AS {c}_lag{n}" for c, n in (
+        ("total_unique_item", 6), ("refund_sales", 12), ("free_qty", 16), ("total_sales", 6)))
+    + ", " + ", ".join(f"CAST(lag(coalesce(cluster_{i}, 0), {n}) OVER w AS DOUBLE) AS cluster_{i}_lag{n}" for i, n in enumerate((6, 6, 6, 12, 6)))
+    + """, CAST(isodow(InvoiceDate) - 1 AS INTEGER) AS dayofweek, CAST(month(InvoiceDate) AS INTEGER) AS month,
+       CAST(year(InvoiceDate) AS INTEGER) AS year, CAST(day(InvoiceDate) AS INTEGER) AS dayofmonth
+FROM daily LEFT JOIN seg ON daily.InvoiceDate = seg.d WINDOW w AS (ORDER BY InvoiceDate)""")
+
+
+def _demand_frame(spark, sf_dir, labels, label):
+    """The feature matrix with the invoices counted by their customers' label."""
     from sparkmart.operators import forecast
+    from sparkmart.plans.stores import holiday_calendar
+    daily = series.with_label_counts(_daily(spark, sf_dir), transaction_fact(spark, sf_dir), labels, "CustomerID", label)
+    return forecast.demand_features(series.add_holidays(daily, holiday_calendar(spark, sf_dir)))
+
+
+@register("demand_matrix", oracle=_MATRIX_SQL, covers=("W6", "W8", "W11", "J6", "J7"))
+def demand_matrix(spark, sf_dir):
+    """The demand model's feature matrix, its counts by market segment (which SQL can tell)."""
+    segment = F.array_position(F.array(*map(F.lit, SEGMENTS)), F.col("c_mktsegment")) - 1
+    labels = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"), segment.alias("label"))
+    return _demand_frame(spark, sf_dir, labels, "label").withColumn("total_sales_lag_sma7", F.round("total_sales_lag_sma7", 4))
+
+
+def _clustered_frame(spark, sf_dir):
+    """The feature matrix with counts by the k-means cluster of the customers."""
+    from sparkmart.plans.segments import labelled_customers
     from sparkmart.session import reliable_checkpoint
-    daily = reliable_checkpoint(_daily(spark, sf_dir).select(series.DAY, "total_qty"))
-    return forecast.fit_and_score(daily, "total_qty", [3, 6, 9, 12], {"maxDepth": 4, "maxIter": 20})
+    return reliable_checkpoint(_demand_frame(spark, sf_dir, labelled_customers(spark, sf_dir), "cluster"))
+
+
+@register("demand_search", covers=("M23", "J5", "W12"))
+def demand_search(spark, sf_dir):
+    """100 draws of the published grid on 10 expanding folds of the training days."""
+    from sparkmart.operators import forecast
+    frame = _clustered_frame(spark, sf_dir)
+    train = series.chronological_split(frame).where("split = 'train'").drop("split", "t")
+    return forecast.search_table(spark, forecast.random_search(train, "total_qty"))
+
+
+@register("forecast_scores", covers=("M23", "M24", "W13", "J5"))
+def forecast_scores(spark, sf_dir):
+    """The published final model vs the train-mean baseline on the last 20 % of days."""
+    from sparkmart.operators import forecast
+    return forecast.fit_and_score(_clustered_frame(spark, sf_dir), "total_qty")

@@ -73,7 +73,7 @@ def test_interpreter_importance_and_gate(spark):
         rows.append((i, c, float(c * 10 + (i % 5)), 7.0, float((i * 7) % 11)))
     df = spark.createDataFrame(rows, "CustomerID long, cluster int, x double, const double, noise double")
     cols = ("x", "const", "noise")
-    model = interpret.train_interpreter(df, cols, n_draws=1, folds=2)
+    model = interpret.train_interpreter(df, cols, kind="forest", n_draws=1, folds=2)
     assert interpret.evaluate(model, df).first().f1_score_macro > 0.95
     imp = {(r.cluster, r.feature): r.importance
            for r in interpret.permutation_importance(model, df, cols, n_repeats=2).collect()}
