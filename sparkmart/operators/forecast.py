@@ -171,10 +171,9 @@ def random_search(frame: DataFrame, label: str, features: list[str] | None = Non
 
 
 def search_table(spark, found: boosting.Search) -> DataFrame:
-    """The candidates with their parameters and mean scores, best first (a row for each draw)."""
-    rows = sorted(((m["rmse"], m["mae"], p.rounds, p.rate, p.leaves, p.depth) for p, m in found.scores))
-    return spark.createDataFrame([(i + 1, *r[2:], *r[:2]) for i, r in enumerate(rows)],
-                                 "rank int, rounds int, rate double, leaves int, depth int, rmse double, mae double")
+    """The draws as they were last grown with their mean scores, best first (a row for each)."""
+    rows = [(i + 1, p.rounds, p.rate, p.leaves, p.depth, m["rmse"], m["mae"]) for i, (p, m) in enumerate(found.scores)]
+    return spark.createDataFrame(rows, "rank int, rounds int, rate double, leaves int, depth int, rmse double, mae double")
 
 
 def fit_and_score(frame: DataFrame, target: str, params: boosting.Params = FINAL_PARAMS, train_fraction: float = 0.8,

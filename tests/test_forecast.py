@@ -12,7 +12,7 @@ def test_random_search_scores_each_draw_on_time_folds(spark):
     assert found.best == min(found.scores, key=lambda s: s[1]["rmse"])[0]
     assert min(m["rmse"] for _, m in found.scores) < 0.1           # the series repeats every week, its spread is 2
     table = forecast.search_table(spark, found).orderBy("rank").collect()
-    assert [r.rmse for r in table] == sorted(r.rmse for r in table)
+    assert [r.rmse for r in table] == sorted(r.rmse for r in table) and table[0].rounds == found.best.rounds
 
 
 def test_search_grid_is_the_published_one():
