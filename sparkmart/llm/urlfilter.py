@@ -3,8 +3,8 @@
 A list entry is a canonical URL prefix: a host and the beginning of a path.  It
 fits a URL whose host is the entry's or a subdomain of it and whose path starts
 with the entry's; the longest fitting entry decides.  A URL's possible entries
-are its host suffixes joined with its path's beginnings of the lengths the list
-has.  The filter, of FILTER_BLOCKS blocks of four 64-bit lanes whatever the
+are its host suffixes, of as many labels as the longest listed host has at most,
+joined with its path's beginnings of the lengths the list has.  The filter, of FILTER_BLOCKS blocks of four 64-bit lanes whatever the
 list's size, lets possible hits through to the hash join with the list, which
 removes the false positives.  Only DataFrame functions are used.
 """
@@ -53,8 +53,8 @@ def possible_hits(keys: DataFrame, bloom: DataFrame) -> DataFrame:
     return hit.select(*keys.columns)
 
 
-def _candidates(lengths: list[int]) -> Column:
-    suffixes = "transform(sequence(1, size(labels)), i -> array_join(slice(labels, i, size(labels)), '.'))"
+def _candidates(lengths: list[int], most_labels: int) -> Column:
+    suffixes = f"transform(sequence(greatest(1, size(labels) - {most_labels - 1}), size(labels)), i -> array_join(slice(labels, i, size(labels)), '.'))"
     starts = f"transform(filter(array({', '.join(map(str, lengths))}), n -> n <= length(path)), n -> substring(path, 1, n))"
     return F.expr(f"flatten(transform({suffixes}, h -> transform({starts}, p -> concat(h, p))))")
 
@@ -75,12 +75,14 @@ def judge_urls(pages: DataFrame, listed: DataFrame, otherwise: str = "allow") ->
               .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
               .select(F.concat("host", "path").alias("key"), F.length("host").alias("host_length"), "verdict"))
     # as many values as the list has path lengths, so bounded by the longest URL
-    lengths = sorted(r[0] for r in listed.select((F.length("key") - F.col("host_length")).alias("n")).distinct().collect())
+    found = listed.agg(F.collect_set(F.length("key") - F.col("host_length")).alias("lengths"),
+                       F.max(F.size(F.split(F.substring("key", F.lit(1), F.col("host_length")), r"\."))).alias("labels")).first()
+    lengths = sorted(found.lengths)
     pages = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     if not lengths:
         return pages.select("*", F.lit(None).cast("string").alias("rule"), F.lit(otherwise).alias("verdict"))
     places = pages.where("host <> ''").select("host", "path").distinct()
-    keys = places.withColumn("labels", F.split("host", r"\.")).select("host", "path", F.explode(_candidates(lengths)).alias("key"))
+    keys = places.withColumn("labels", F.split("host", r"\.")).select("host", "path", F.explode(_candidates(lengths, found.labels)).alias("key"))
     best = (possible_hits(keys, bloom_filter(listed)).join(listed, "key")
             .groupBy("host", "path")
             .agg(F.max(F.struct(F.length("key").alias("n"), "host_length", "key", "verdict")).alias("best"))
