@@ -52,7 +52,8 @@ BASE_RULES = (
 )
 MORE_RULES = (
     Rule("private_key", PRIVATE_KEY),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # only at the beginning of a run of its characters, so that each run is read once
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("url_login", r"://[A-Za-z0-9._~%+-]+:[A-Za-z0-9._~%+!$-]+@"),
