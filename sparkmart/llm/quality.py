@@ -101,9 +101,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
 
 def keep_good(docs: DataFrame, all_docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of ``docs`` that a model fitted on ``all_docs`` accepts, with all
-    their columns; every row if there is nothing to learn from."""
+    their columns whatever their names; every row if there is nothing to learn from."""
     model = fit_quality(all_docs, labels, max_rows)
     if model is None:
         return docs
-    return (docs.withColumn("_quality_score", quality_score(docs.sparkSession, F.col("text"), model))
-            .where(F.col("_quality_score") >= THRESHOLD).drop("_quality_score"))
+    return docs.where(quality_score(docs.sparkSession, F.col("text"), model) >= THRESHOLD)
