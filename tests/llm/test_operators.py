@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -11,8 +12,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sparkmart.llm import (bpe, chat, covertree, decontaminate, graph, kneserney, quality, secrets, simhash, toxicity,
-                           training, trigrams, urlfilter)
+from sparkmart.llm import (bpe, chat, covertree, decontaminate, divergence, graph, kneserney, packing, quality, secrets, simhash,
+                           toxicity, training, trigrams, urlfilter, whitening)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -236,6 +237,189 @@ def test_labelled_sample_counts_present_documents(spark):
     assert all(r.y == r.doc_id % 2 and int(r.text[5:]) % 40 == r.doc_id for r in got)
 
 
+def test_copies_of_a_training_row_count_once(spark):
+    rows = [(i, f"{_prose(6)} {('good', 'awful')[i % 2]}") for i in range(300)]
+    marks = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, quality int")
+    once = spark.createDataFrame(rows, "doc_id bigint, text string")
+    again = spark.createDataFrame(rows * 3, "doc_id bigint, text string").repartition(5)
+    for a, b in zip(quality.fit_quality(once, marks), quality.fit_quality(again, marks), strict=True):
+        assert (a == b).all()
+
+
+def test_stages_keep_any_columns(spark):
+    """Names that the stages use themselves, in any case."""
+    odd = ["_quality_score", "_GONE", "_id", "_fp", "_own", "__own", "_bad_id", "_Bad_Key", "component", "fp", "n", "text_key", "predicted"]
+    texts = [PASSAGE, PASSAGE + " tail", _prose(40), _prose(50), None]
+    schema = "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in odd)
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id int, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 6)], "doc_id bigint, quality int")
+    for ids in ([1, 2, 3, 4, 5], [1, 1, 3, None, None]):        # the second way tells rows apart by fingerprint
+        rows = spark.createDataFrame([(i, t, *[f"{c}{k}" for c in odd]) for k, (i, t) in enumerate(zip(ids, texts, strict=True))], schema)
+        for kept in (quality.keep_good(rows, rows, labels), simhash.keep_one(rows), decontaminate.remove_contaminated(rows, items)):
+            assert kept.columns == rows.columns
+            assert kept.exceptAll(rows).count() == 0 < kept.count()
+        assert decontaminate.remove_contaminated(rows, items).count() == 3
+
+
+def test_web_tokens_in_linear_time():
+    rule = next(r for r in secrets.RULES if r.kind == "web_token")
+    assert re.fullmatch(rule.pattern, "eyJhbGciOiJI.eyJzdWIiOi.sflKxwRJSM") and re.search(rule.pattern, "=eyJhbGciOiJI.eyJzdWIiOi.sflKxwRJSM;")
+    for text in ("eyJ" * 350_000, "eyJaaaaaaaa." * 90_000, ("eyJ" * 30 + " ") * 12_000):
+        began = time.monotonic()
+        sum(1 for _ in re.finditer(rule.pattern, text))
+        assert time.monotonic() - began < 2
+
+
+def test_url_hosts_of_very_many_labels(spark):
+    listed = spark.createDataFrame([("example.com", "/en/", "block"), ("com", "/", "allow")], "host string, path string, verdict string")
+    host = "a." * 100_000 + "example.com"
+    got = urlfilter.judge_urls(spark.createDataFrame([(1, f"http://{host}/en/x"), (2, f"http://{host}x/en/")], "page_id int, url string"), listed)
+    assert [(r.page_id, r.rule, r.verdict) for r in got.orderBy("page_id").collect()] == [(1, "example.com/en/", "block"), (2, None, "allow")]
+
+
+def _pieces(n, longest):
+    """Lengths of the pieces of n ids, by the definition."""
+    return [longest] * (n // longest) + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if n % longest >> b & 1]
+
+
+def test_packing(spark, docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, _ = packing._tokenizer(path)
+    odd = ["a  b  c d\u3000 e\n\n x\t y ", "é à ü  <|endoftext|> x", "\u0085 a\x1c b\x1f c  \n", "日本 語  です\r\n ok", "it's we'll '  s", "ñ\n", "a.b,c''s'd 1.2 a'll",
+           "x" * 3000, " " * 500, "\u00d7, y\u00a0 z", "word " * 4000]
+    more = docs.select("doc_id", "text", F.lit(9).alias("length"), F.lit("x").alias("BUCKET")).unionByName(
+        spark.createDataFrame([(100 + i, t, 0, "y") for i, t in enumerate(odd)], "doc_id bigint, text string, length int, BUCKET string"))
+    out = packing.pack_documents(more, path, longest=64).collect()
+    assert sorted(r.sequence_id for r in out) == list(range(len(out)))
+    by_bucket = sorted((r.sequence_id, r.bucket) for r in out)
+    assert [b for _, b in by_bucket] == sorted(b for _, b in by_bucket)            # equal lengths stand together
+    assert all(r.offset == 0 and r.length == 1 << r.bucket == len(r.ids) <= 64 for r in out)
+    assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in out)
+    got, want = {}, {}
+    for r in sorted(out, key=lambda r: r.start):
+        got.setdefault(r.doc_id, []).append(r)
+    rows = more.collect()
+    assert len({r.doc_id for r in rows}) == len(got)
+    for r in rows:
+        want.setdefault(r.doc_id, []).append([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1])
+    for doc_id, texts in want.items():
+        pieces = got[doc_id]
+        assert sum(r.length for r in pieces) == sum(map(len, texts))
+        if len(texts) == 1:
+            assert [i for r in pieces for i in r.ids] == texts[0]
+            assert [r.length for r in pieces] == _pieces(len(texts[0]), 64) and {r.doc_tokens for r in pieces} == {len(texts[0])}
+            assert [r.start for r in pieces] == np.cumsum([0, *[r.length for r in pieces]])[:-1].tolist()
+    assert packing.pack_documents(_empty(more), path).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack_documents(more, path, longest=100)
+
+
+@pytest.mark.parametrize("trial", range(12))
+def test_feast_finds_all_eigenpairs(trial):
+    r = np.random.default_rng(trial)
+    d = int(r.integers(1, 40))
+    x = r.standard_normal((d, int(r.integers(1, 60))))
+    a = np.kron(np.eye(3), x @ x.T) if trial % 3 == 0 else x @ x.T           # every third one with triple eigenvalues
+    w = np.linalg.eigvalsh(a)
+    for shift in r.uniform(-1, 1.1 * w[-1], 5):
+        assert whitening.below(a, shift) == (w < shift).sum()
+    found = whitening.slices(a, 8)
+    values = []
+    for lo, hi, count in found:
+        e, v = whitening.feast(a, lo, hi, count)
+        assert len(e) == count and np.abs(a @ v - v * e).max() < 1e-11 * w[-1] and np.abs(v.T @ v - np.eye(count)).max() < 1e-10
+        values += e.tolist()
+    want = w[::-1][:8][w[::-1][:8] > 1e-10 * w[-1]]
+    assert np.allclose(np.sort(values)[::-1][:len(want)], want, rtol=1e-10)
+
+
+def test_inertia_of_zero_pivots():
+    assert whitening.below(np.array([[0.0, 1], [1, 0]]), 0.0) == 1 and whitening.below(np.zeros((3, 3)), 0.0) == 0
+    assert whitening.slices(np.zeros((3, 3)), 8) == []
+
+
+def test_whitening(spark):
+    r = np.random.default_rng(3)
+    x = (r.standard_normal((300, 6)) @ np.diag([3, 1, 1, 0.5, 0.2, 0]) + [0, 5, -5, 0, 0, 1]).astype(np.float32)
+    rows = [(i, v.tolist(), i, "z") for i, v in enumerate(x)] + [(7, x[7].tolist(), 0, "copy"), (None, x[8].tolist(), 0, "no id")]
+    bad = [(900, None), (901, []), (902, [1.0] * 5), (903, [float("nan")] * 6), (904, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (905, [float("inf")] * 6), (906, [3e38] * 6)]
+    schema = "vec_id bigint, embedding array<float>, n int, whitened string"
+    frame = spark.createDataFrame(rows + [(i, v, 0, "") for i, v in bad], schema).repartition(3)
+    out = whitening.whiten(frame).collect()
+    y = np.floor(1024 * np.array([v for _, v, *_ in rows], np.float32).astype(float)).astype(np.int64) + 100_000
+    n, s = len(y), y.sum(axis=0)
+    cov = np.cov(y.T, bias=True)
+    w, u = np.linalg.eigh(cov)
+    w, u = w[::-1][:5], u[:, ::-1][:, :5]                    # the sixth direction does not vary
+    want = (y - s / n) @ u / np.sqrt(w)
+    assert len(out) == n and {o.n for o in out} == {n} and all(len(o.whitened) == 5 for o in out)
+    place = {i: k for k, (i, *_) in enumerate(rows)}
+    got = np.array([o.whitened for o in out])
+    mine = want[[place[o.vec_id] for o in out]]
+    assert np.abs(got * np.sign((got * mine).sum(axis=0)) - mine).max() < 1e-9
+    assert all(int(o.deviation) == sum((n * int(a) - int(b)) ** 2 for a, b in zip(y[place[o.vec_id]], s)) for o in out)
+    assert out[0].explained == pytest.approx((w / np.trace(cov)).tolist()) and 0 <= out[0].identity_error < 1e-10
+    one = whitening.whiten(frame.where("vec_id = 3")).collect()
+    assert len(one) == 1 and one[0].whitened == [] and int(one[0].deviation) == 0
+    assert whitening.whiten(_empty(frame)).count() == 0 == whitening.whiten(frame.where("vec_id = 900")).count()
+
+
+def test_gram_is_exact():
+    y = np.array([[2 ** 30, -3], [5, 2 ** 31 - 1], [-7, 11]], np.int64)
+    want = [[sum(int(a) * int(b) for a, b in zip(y[:, i], y[:, j])) for j in range(2)] for i in range(2)]
+    assert whitening.gram(y).tolist() == want
+
+
+def _divergence(rows, least, top):
+    """The audit by its definition, in whole numbers."""
+    letter = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    words = [(lang or "", source or "", letter.findall((text or "").translate(LOWER))) for lang, source, text in rows]
+    out = []
+    for lang in {r[0] for r in words}:
+        mine = [r for r in words if r[0] == lang]
+        kept = [t for t in {t for r in mine for t in r[2]} if sum(t in r[2] for r in mine) >= least]
+
+        def shares(groups):
+            c = {t: sum(r[2].count(t) for r in groups) for t in kept}
+            return c, {t: 1 + 10 ** 9 * (c[t] + 2) // (sum(c.values()) + 2 * len(kept)) for t in kept}
+        f = lambda p, q: (p - q) ** 2 // (p + q)
+        _, q = shares(mine)
+        sources = {r[1] for r in mine}
+        of = {s: shares([r for r in mine if r[1] == s]) for s in sources}
+        for s in sources:
+            c, p = of[s]
+            pairs = [(-sum(f(p[t], of[o][1][t]) for t in kept), o.encode()) for o in sources - {s}]
+            terms = [(-f(p[t], q[t]), t.encode()) for t in kept if c[t] and p[t] > q[t]]
+            for part, ranked in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, item.decode(), -v, k + 1) for k, (v, item) in enumerate(ranked)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("least,top", [(3, 4), (1, 2), (1000, 10)])
+def test_divergence(spark, least, top):
+    rows = [(rnd.choice(["de", "en"]), rnd.choice(["a", "a", "b", "c"]), _prose(rnd.randrange(30))) for _ in range(60)]
+    rows += [("de", "empty", ""), ("fr", "alone", "Le le LE chat"), (None, None, None), (None, "a", "x y"), ("en", None, "the THE Été")] + [rows[0]] * 5
+    frame = spark.createDataFrame([(*r, "clash", 1) for r in rows], "lang string, source string, text string, term string, n int").repartition(4)
+    got = sorted(tuple(r) for r in divergence.audit_sources(frame, least, top).select("lang", "source", "part", "item", "value", "rank").collect())
+    assert got == _divergence(rows, least, top) and len(got) > 10
+    assert divergence.audit_sources(_empty(frame)).count() == 0
+
+
+def test_skyband_holds_all_leaders():
+    r = np.random.default_rng(2)
+    n, lang_n = r.integers(1, 9, 500), r.integers(9, 20, 500)
+    term = np.array([f"t{i}".encode() for i in r.permutation(500)], object)
+    kept = set(divergence.skyband(n, lang_n, term, 3).tolist())
+    for i in range(500):
+        over = sum(n[j] >= n[i] and lang_n[j] <= lang_n[i] and term[j] < term[i] for j in range(500) if j != i)
+        assert (i in kept) == (over < 3)
+
+
+def test_shares_by_long_division():
+    for count, total, terms in ((0, 0, 1), (10 ** 13, 2 * 10 ** 13, 10 ** 6), (7, 10, 3), (5 * 10 ** 14, 10 ** 15, 1)):
+        assert int(divergence.share(count, total, terms)) == 1 + 10 ** 9 * (count + 2) // (total + 2 * terms)
+
+
 def test_toxic_pairs(spark):
     """The label depends on two words together; each word alone is balanced."""
     rows = [(i, f"{_prose(9)} {('group', 'folks')[i % 2]} {_prose(9)} {('insult', 'praise')[i // 2 % 2]}") for i in range(1000)]
