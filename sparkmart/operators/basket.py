@@ -5,9 +5,9 @@ quantities are summed per (invoice, item) first — a map-side-combined
 aggregate, so each basket holds at most one entry per distinct product —
 binarised (≥1 → present), and invoices with fewer than ``min_items`` present
 items dropped.  Frequent itemsets come from Spark ML's distributed FPGrowth;
-rules are every split of each frequent itemset into antecedent/consequent,
-generated by exploding subset bitmasks and joining back to the itemset
-supports (no per-basket pair explosion anywhere).
+rules are every split of each frequent itemset into antecedent/consequent, grown a
+consequent item a level by joins with the itemset supports (no per-basket pair
+explosion anywhere, no list of all subsets).
 """
 
 from __future__ import annotations
@@ -51,25 +51,39 @@ def frequent_itemsets(baskets_df: DataFrame, min_support: float = 0.03) -> DataF
           .select("items", "freq", (F.col("freq") / F.col("_n")).alias("support"), F.size("items").alias("n_items")))
 
 
-def association_rules(itemsets: DataFrame, min_lift: float = 1.0, digits: int = 6) -> DataFrame:
+def association_rules(itemsets: DataFrame, min_lift: float = 1.0, digits: int = 6, min_confidence: float = 0.0) -> DataFrame:
     """Every antecedent → consequent split of each frequent itemset
     (both sides non-empty), with support (of the union), confidence and lift;
-    kept when lift ≥ min_lift, sorted by lift.
+    kept when lift ≥ min_lift and confidence ≥ min_confidence, sorted by lift.
 
-    A k-itemset has 2^k - 2 splits; the bitmask explode emits exactly those
-    rows, and the antecedent/consequent supports come from equi-joins on the
-    sorted item arrays (every subset of a frequent itemset is frequent)."""
-    multi = itemsets.filter(F.col("n_items") >= 2)
-    masks = multi.select("items", "support", "n_items",
-                         F.explode(F.expr("sequence(1L, shiftleft(1L, n_items) - 2L)")).alias("_m"))
-    splits = masks.select(F.expr("filter(items, (x, i) -> ((_m >> i) & 1) = 1)").alias("antecedents"),
-                          F.expr("filter(items, (x, i) -> ((_m >> i) & 1) = 0)").alias("consequents"),
-                          F.col("support"))
+    Level j moves one more item, greater than those moved before, from the antecedent
+    to the consequent and joins the antecedent's support.  Confidence only falls on
+    the way, so a split below ``min_confidence``, or whose antecedent is not among the
+    itemsets, is not grown further.  A level is a written table; there are as many as
+    the longest itemset has items, less one."""
+    from sparkmart.session import reliable_checkpoint
     sup = itemsets.select("items", F.col("support").alias("_s"))
     a = sup.select(F.col("items").alias("antecedents"), F.col("_s").alias("antecedent_support"))
     c = sup.select(F.col("items").alias("consequents"), F.col("_s").alias("consequent_support"))
-    r = splits.join(a, "antecedents").join(c, "consequents")
     conf = F.col("support") / F.col("antecedent_support")
+    longest = itemsets.agg(F.max("n_items")).first()[0] or 0
+    level = itemsets.filter(F.col("n_items") >= 2).select(F.col("items").alias("antecedents"), F.array().cast("array<string>").alias("consequents"), "support")
+    levels = []
+    for size in range(1, longest):
+        moved = (level.filter(F.size("antecedents") >= 2)
+                 .select("*", F.explode(F.filter("antecedents", lambda x: F.size("consequents").eqNullSafe(0) | (x > F.try_element_at("consequents", F.lit(-1))))).alias("x"))
+                 .select(F.array_remove("antecedents", F.col("x")).alias("antecedents"), F.array_append("consequents", F.col("x")).alias("consequents"), "support"))
+        level = reliable_checkpoint(moved.join(a, "antecedents").filter(conf >= min_confidence))
+        levels.append(level)
+        level = level.drop("antecedent_support")
+        if size + 1 < longest and not level.limit(1).count():
+            break
+    if not levels:
+        levels = [level.withColumn("antecedent_support", F.lit(1.0)).filter(F.lit(False))]
+    r = levels[0]
+    for more in levels[1:]:
+        r = r.unionByName(more)
+    r = r.join(c, "consequents")
     lift = conf / F.col("consequent_support")
     out = r.select("antecedents", "consequents",
                    F.round("support", digits).alias("support"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,6 +114,35 @@ def null_violations(typed_df: DataFrame, cfg: TableConfig) -> DataFrame:
     return agg.unpivot([], strict, "column", "null_rows")
 
 
+def checked(raw: DataFrame, cfg: TableConfig) -> DataFrame:
+    """Q6: the typed columns with ``_reasons``, what is wrong in the columns that must not be
+    null ("units: unreadable", "market: missing"), and ``_raw``, the source columns."""
+    strict = [c for c in cfg.all_columns if not c.nullable]
+    rows = raw.select(*[column_expr(s) for s in cfg.all_columns], F.struct(*[F.col(c) for c in cfg.source_columns]).alias("_raw"))
+    why = [F.when(F.col(c.target).isNull(), F.concat(F.lit(f"{c.target}: "), F.when(F.col(f"_raw.{c.source}").isNull(), "missing").otherwise("unreadable")))
+           for c in strict]
+    return rows.withColumn("_reasons", F.array_compact(F.array(*why)) if why else F.array().cast("array<string>"))
+
+
+def quarantine(raw: DataFrame, cfg: TableConfig, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Q6/Q7: one write of all rows under ``path``, dealt to the folders ``accepted`` and
+    ``rejected``: (accepted typed rows, rejected source rows with ``reasons``, the counts of both,
+    observed while writing).  The input is read once; a folder that got no rows reads as empty."""
+    seen = Observation()
+    bad = F.size("_reasons") > 0
+    rows = checked(raw, cfg).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, 1)).alias("rejected"))
+    typed_names = [c.target for c in cfg.all_columns]
+    out = rows.select(*typed_names, F.when(bad, F.col("_raw")).alias("_raw"), F.when(bad, F.col("_reasons")).alias("_reasons"),
+                      F.when(bad, "rejected").otherwise("accepted").alias("_status"))
+    out.write.partitionBy("_status").parquet(path)
+    counts = seen.get
+    log.info("%s: %d rows, %d rejected", cfg.table_name, counts["rows"], counts["rejected"])
+    stored = raw.sparkSession.read.schema(out.schema).parquet(path)
+    accepted = stored.where("_status = 'accepted'").select(*typed_names)
+    rejected = stored.where("_status = 'rejected'").select("_raw.*", F.col("_reasons").alias("reasons"))
+    return accepted, rejected, {"accepted": counts["rows"] - counts["rejected"], "rejected": counts["rejected"]}
+
+
 def read_raw(spark: SparkSession, cfg: TableConfig, path: str, read_format: str = "csv",
              options: dict | None = None) -> DataFrame:
     """Schema-applied read of the raw file (all text, header on by default)."""
@@ -130,11 +159,15 @@ def write_silver(df: DataFrame, cfg: TableConfig, path: str, mode: str = "overwr
 
 def run_ingestion(spark: SparkSession, config, input_path: str, output_path: str, dt: str | None = None,
                   read_format: str = "csv", write_format: str = "parquet", mode: str = "overwrite",
-                  read_options: dict | None = None) -> DataFrame:
-    """End-to-end entry point (§3.1): validate, read, transform, enrich, write."""
+                  read_options: dict | None = None, quarantine_path: str | None = None) -> DataFrame:
+    """End-to-end entry point (§3.1): validate, read, transform, enrich, write.  With a
+    ``quarantine_path`` (a new folder) rows that lack a required value stay there with the
+    reasons, and only the others go on."""
     cfg = parse_config(config)
     dt = validate_args(dt, mode, read_format, write_format)
     log.info("ingesting %s from %s (%s) for %s", cfg.table_name, input_path, read_format, dt)
-    out = silver(read_raw(spark, cfg, input_path, read_format, read_options), cfg, dt)
+    raw = read_raw(spark, cfg, input_path, read_format, read_options)
+    typed_rows = transform(raw, cfg) if quarantine_path is None else quarantine(raw, cfg, quarantine_path)[0]
+    out = enrich(typed_rows, cfg, dt)
     write_silver(out, cfg, output_path, mode, write_format)
     return out

@@ -69,7 +69,7 @@ def page_records(pages: DataFrame) -> DataFrame:
         title.alias("title"),
         slug(F.lower(title)).alias("title_slug"),
         strip_tags(F.regexp_extract(html, H1_PATTERN, 1)).alias("h1"),
-        F.size(hrefs(html)).alias("n_links"),
+        F.regexp_count(html, _lit(HREF_PATTERN)).alias("n_links"),
         F.length(strip_tags(html)).alias("text_chars"),
     )
 

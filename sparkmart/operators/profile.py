@@ -7,11 +7,12 @@ rather than computed column by column on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.columns import money
 from sparkmart.operators.quantiles import exact_quantiles
+from sparkmart.session import reliable_checkpoint
 
 # Non-product stock codes excluded from basket analysis.
 NON_PRODUCT_CODES = ("DOT", "POST", "M", "BANK CHARGES", "D", "CRUK", "B", "S")
@@ -41,7 +42,8 @@ def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
         aggs += [F.count(x).alias(f"{c}__count"), mean.alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
-    qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).select(*[F.col(c).alias(f"{c}__q") for c in cols])
+    df = reliable_checkpoint(df.select(*cols))             # read by the moments and by the rank selection
+    qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75], stored=True).select(*[F.col(c).alias(f"{c}__q") for c in cols])
     wide = df.agg(*aggs).crossJoin(qs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"),
                      F.round(F.col(f"{c}__mean"), digits).cast("double").alias("mean"),
@@ -112,23 +114,45 @@ def code_length_counts(df: DataFrame, col: str = "StockCode", below: int = 5) ->
     return df.filter(F.length(col) < below).groupBy(col).agg(F.count(F.lit(1)).alias("lines"))
 
 
+def _fingerprinted(df: DataFrame) -> DataFrame:
+    """The rows with two 64-bit hashes of all their columns, nulls told apart by place."""
+    every = [F.col(f"`{c}`") for c in df.columns] + [F.col(f"`{c}`").isNull() for c in df.columns]
+    return df.select("*", F.xxhash64(*every).alias("_fp1"), F.xxhash64(F.lit(17), *every).alias("_fp2"))
+
+
+def _repeated(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """(rows whose fingerprint repeats, counts of all rows and of those that stand alone).
+
+    Only fingerprints are shuffled to be counted; those that repeat are a written
+    table, so Spark knows its size when it meets the rows again."""
+    seen = Observation()
+    counted = (_fingerprinted(df).groupBy("_fp1", "_fp2").agg(F.count(F.lit(1)).alias("_n"))
+               .observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.when(F.col("_n") == 1, 1)).alias("alone")))
+    again = reliable_checkpoint(counted.where("_n > 1").select("_fp1", "_fp2"))
+    return _fingerprinted(df).join(again, ["_fp1", "_fp2"], "left_semi").select(*[F.col(f"`{c}`") for c in df.columns]), seen
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Full-row duplicates with their multiplicity, most repeated first."""
-    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-              .filter(F.col("copies") > 1).orderBy(F.col("copies").desc()))
+    """Full-row duplicates with their multiplicity, most repeated first.  Only rows
+    whose fingerprint repeats are compared as whole."""
+    rows, _ = _repeated(df)
+    return (rows.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
+            .filter(F.col("copies") > 1).orderBy(F.col("copies").desc()))
 
 
 def row_counts(df: DataFrame) -> DataFrame:
-    """Total rows and distinct rows (distinct via a grouped count)."""
-    total = df.agg(F.count(F.lit(1)).alias("rows"))
-    distinct = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return total.crossJoin(F.broadcast(distinct))
+    """Total rows and distinct rows.  A row whose fingerprint stands alone is
+    distinct; the others are compared as whole."""
+    rows, seen = _repeated(df)
+    found = seen.get
+    return rows.distinct().agg((F.count(F.lit(1)) + F.lit(found["alone"])).alias("distinct_rows")).select(
+        F.lit(found["rows"]).cast("long").alias("rows"), "distinct_rows")
 
 
-def iqr_fence(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
+def iqr_fence(df: DataFrame, col: str, k: float = 1.5, stored: bool = False) -> DataFrame:
     """drop rows at or beyond Q1 - k·IQR / Q3 + k·IQR (exact quartiles).
     The bounds are one aggregate row, broadcast to every partition (J9)."""
-    q = exact_quantiles(df, [col], [0.25, 0.75]).select(F.col(col).alias("_q"))
+    q = exact_quantiles(df, [col], [0.25, 0.75], stored=stored).select(F.col(col).alias("_q"))
     b = q.select((F.col("_q")[0] - k * (F.col("_q")[1] - F.col("_q")[0])).alias("_lo"),
                  (F.col("_q")[1] + k * (F.col("_q")[1] - F.col("_q")[0])).alias("_hi"))
     x = F.col(col)
@@ -143,8 +167,9 @@ def zscore_filter(df: DataFrame, col: str, limit: float = 3.0) -> DataFrame:
 
 
 def remove_outliers(df: DataFrame, iqr_column: str = "Quantity", zscore_column: str = "UnitPrice") -> DataFrame:
-    """F11 then F12 (the z-score is computed on the IQR-filtered rows)."""
-    return zscore_filter(iqr_fence(df, iqr_column), zscore_column)
+    """F11 then F12 (the z-score is computed on the IQR-filtered rows).  The rows are written
+    once: the quartiles, the moments and the filter all read them."""
+    return zscore_filter(iqr_fence(reliable_checkpoint(df), iqr_column, stored=True), zscore_column)
 
 
 def minmax_scale(df: DataFrame, cols: list[str], key: str) -> DataFrame:

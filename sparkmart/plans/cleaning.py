@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from sparkmart.operators import clean
+from pyspark.sql import functions as F
+
+from sparkmart.functions.columns import money
+from sparkmart.operators import clean, profile, series
 from sparkmart.plans.registry import register
+from sparkmart.plans.timeseries import _DAILY_CTE
 from sparkmart.sources.bronze import RAW_SQL, raw_invoices
 
 _CLEAN_CTES = f"""
@@ -46,6 +50,40 @@ def clean_transactions(spark, sf_dir):
 def description_mode(spark, sf_dir):
     """Most frequent description per (upper-cased) stock code."""
     raw = raw_invoices(spark, sf_dir)
-    from pyspark.sql import functions as F
     return clean.description_mode(raw.select(F.upper("StockCode").alias("StockCode"),
                                              F.coalesce("Description", F.lit(clean.NO_DESCRIPTION)).alias("Description")))
+
+
+# The same profiles over the cleaned dirty table, where every class and many nulls occur.
+_FACT_CTES = _CLEAN_CTES + """,
+fact AS (SELECT t.InvoiceNo, t.StockCode, m.Description, t.Quantity, t.InvoiceDate, CAST(t.price AS DOUBLE) AS UnitPrice,
+                t.CustomerID, t.Country, CAST(CAST(t.Quantity AS DECIMAL(10,0)) * t.price AS DECIMAL(18,2)) AS total_spend
+         FROM typed t LEFT JOIN modes m ON t.StockCode = m.StockCode)"""
+_FACT_COLUMNS = ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country", "total_spend")
+
+
+@register("dirty_null_profile", covers=("A10", "F2"), oracle=_FACT_CTES + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM fact" for c in _FACT_COLUMNS))
+def dirty_null_profile(spark, sf_dir):
+    """Nulls that cleaning leaves: unreadable quantities, dates and prices."""
+    return profile.null_profile(clean.clean_transactions(raw_invoices(spark, sf_dir)))
+
+
+@register("dirty_line_classes", covers=("F10", "F4"), oracle=_FACT_CTES + """
+SELECT CASE WHEN Quantity < 0 AND Description = 'Discount' THEN 'discount' WHEN Quantity < 0 AND UnitPrice = 0 THEN 'free'
+            WHEN Quantity < 0 AND UnitPrice > 0 THEN 'refund' WHEN Quantity < 0 THEN 'other_negative' ELSE 'sale' END AS line_class,
+       count(*) AS lines, CAST(sum(Quantity) AS BIGINT) AS qty, CAST(sum(total_spend) AS DOUBLE) AS spend
+FROM fact GROUP BY 1""")
+def dirty_line_classes(spark, sf_dir):
+    """All five classes of lines, with exact spend."""
+    f = clean.clean_transactions(raw_invoices(spark, sf_dir)).withColumn("line_class", profile.line_class())
+    return f.groupBy("line_class").agg(F.count(F.lit(1)).alias("lines"), F.sum("Quantity").alias("qty"),
+                                       F.sum(money("total_spend")).cast("double").alias("spend"))
+
+
+@register("dirty_daily_series", covers=("A5", "A6", "J4", "N2"), oracle=_FACT_CTES.replace(
+    "FROM typed t LEFT JOIN modes m ON t.StockCode = m.StockCode)", "FROM typed t LEFT JOIN modes m ON t.StockCode = m.StockCode WHERE InvoiceDate IS NOT NULL)")
+    + "," + _DAILY_CTE + " SELECT * FROM daily")
+def dirty_daily_series(spark, sf_dir):
+    """The daily series where days have discounts and free items."""
+    return series.daily_series(clean.clean_transactions(raw_invoices(spark, sf_dir)).where("InvoiceDate IS NOT NULL"))

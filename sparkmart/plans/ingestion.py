@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from sparkmart.config import parse_config
 from sparkmart.operators import ingest
 from sparkmart.plans.registry import register
+from sparkmart.session import ensure_checkpoint_dir
 from sparkmart.sources.bronze import INVOICE_CONFIG, RAW_SQL, raw_invoices
 
 DT = "2024-11-09"
@@ -63,6 +68,32 @@ def ingest_null_violations(spark, sf_dir):
     return ingest.null_violations(ingest.transform(raw_invoices(spark, sf_dir), cfg), cfg)
 
 
+_STRICT = (("document", "InvoiceNo"), ("item_code", "StockCode"), ("units", "Quantity"), ("sold_on", "InvoiceDate"),
+           ("list_price", "UnitPrice"), ("market", "Country"), ("sold_at", "InvoiceDate"))
+_CHECKED_SQL = _TYPED_SQL.replace("  FROM raw)", "         , raw.* FROM raw)") + """, checked AS (
+SELECT *, concat_ws(', ', """ + ", ".join(
+    f"CASE WHEN {t} IS NULL THEN '{t}: ' || CASE WHEN {s} IS NULL THEN 'missing' ELSE 'unreadable' END END" for t, s in _STRICT) + """) AS why FROM typed)
+"""
+
+
+def _quarantined(spark, sf_dir):
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarantine-{uuid.uuid4().hex}"
+    return ingest.quarantine(raw_invoices(spark, sf_dir), parse_config(INVOICE_CONFIG), path)
+
+
+@register("accepted_invoices", covers=("Q6", "Q7"), oracle=_CHECKED_SQL + f"SELECT {_COLUMNS} FROM checked WHERE why = ''")
+def accepted_invoices(spark, sf_dir):
+    """Typed rows that have every required value, read back from the checked write."""
+    return _quarantined(spark, sf_dir)[0]
+
+
+@register("rejected_invoices", covers=("Q6", "Q7"), oracle=_CHECKED_SQL
+          + "SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country, why AS reasons FROM checked WHERE why <> ''")
+def rejected_invoices(spark, sf_dir):
+    """Source rows that lack a required value, with the reasons."""
+    return _quarantined(spark, sf_dir)[1].withColumn("reasons", F.array_join("reasons", ", "))
+
+
 @register("raw_invoices", oracle=_RAW_TEXT_SQL, covers=("X7",))
 def raw_invoice_text(spark, sf_dir):
     """The all-text bronze table (dates formatted M/d/yyyy H:mm, padded codes)."""

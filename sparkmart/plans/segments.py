@@ -38,7 +38,7 @@ _SCALED_SQL = with_fact(extra_ctes=_scaled_cte(),
 
 @register("robust_scaled_profile", oracle=_SCALED_SQL, covers=("M1", "A14", "J9"))
 def robust_scaled_profile(spark, sf_dir):
-    return segment.robust_scale(_profile(spark, sf_dir), digits=6)
+    return segment.robust_scale(_profile(spark, sf_dir), digits=6, stored=True)
 
 
 _K1_SQL = with_fact(extra_ctes=_scaled_cte(),
@@ -48,7 +48,7 @@ _K1_SQL = with_fact(extra_ctes=_scaled_cte(),
 
 @register("single_cluster_inertia", oracle=_K1_SQL, covers=("A15",))
 def single_cluster_inertia(spark, sf_dir):
-    sc = segment.robust_scale(_profile(spark, sf_dir))
+    sc = segment.robust_scale(_profile(spark, sf_dir), stored=True)
     return segment.single_cluster_inertia(sc).select(F.round("inertia", 4).alias("inertia"))
 
 
@@ -91,7 +91,7 @@ def label_class_report(spark, sf_dir):
 
 
 def _segment_scores(spark, sf_dir):
-    sc = segment.robust_scale(_profile(spark, sf_dir))
+    sc = segment.robust_scale(_profile(spark, sf_dir), stored=True)
     seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"),
                                                   F.col("c_mktsegment").alias("segment"))
     j = sc.join(seg, "CustomerID")
@@ -122,7 +122,7 @@ def segment_feature_ranks(spark, sf_dir):
 
 @register("kmeans_inertia_sweep", covers=("M3", "M4", "A15"))
 def kmeans_inertia_sweep(spark, sf_dir):
-    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir)))
+    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir), stored=True))
     inertia = segment.inertia_sweep(sc)
     k = segment.find_optimal_k(inertia)
     return spark.createDataFrame([(i + 1, float(v), i + 1 == k) for i, v in enumerate(inertia)],
@@ -132,13 +132,13 @@ def kmeans_inertia_sweep(spark, sf_dir):
 @register("customer_segments", covers=("M1", "M3", "M4", "M5"))
 def customer_segments(spark, sf_dir):
     prof = _profile(spark, sf_dir)
-    out, _, _, _ = segment.segment_customers(prof)
+    out, _, _, _ = segment.segment_customers(prof, stored=True)
     return out
 
 
 def labelled_customers(spark, sf_dir):
     """The profile with its k-means cluster, written once."""
-    return reliable_checkpoint(segment.segment_customers(_profile(spark, sf_dir))[0])
+    return reliable_checkpoint(segment.segment_customers(_profile(spark, sf_dir), stored=True)[0])
 
 
 @register("cluster_importance", covers=("M7", "M8", "M9", "M11", "M12", "M13"))
@@ -193,7 +193,7 @@ def root_split_gains(spark, sf_dir):
 
 @register("silhouette_scores", covers=("M6",))
 def silhouette_scores(spark, sf_dir):
-    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir)))
+    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir), stored=True))
     return spark.createDataFrame(segment.silhouette(sc), "k int, silhouette double")
 
 
@@ -210,7 +210,7 @@ ab AS (SELECT CustomerID, segment, max(CASE WHEN other = segment AND n > 1 THEN
 @register("segment_silhouette", oracle=_SIL_SQL, covers=("M6",))
 def segment_silhouette(spark, sf_dir):
     """Silhouette of every customer in its market segment, squared Euclidean in closed form."""
-    sc = segment.robust_scale(_profile(spark, sf_dir))
+    sc = segment.robust_scale(_profile(spark, sf_dir), stored=True)
     seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"), F.col("c_mktsegment").alias("segment"))
     return segment.silhouette_per_sample(sc.join(seg, "CustomerID"), "segment").withColumn("silhouette", F.round("silhouette", 6))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_RUNS: list[str] = []                 # folders of the runs that are under way, the innermost last
+
+
+@contextmanager
+def run_scratch(spark: SparkSession):
+    """Tables that ``reliable_checkpoint`` writes inside this block go to a folder of the
+    run's own, removed at its end.  For runs whose results are written before it ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _RUNS.append(path)
+    try:
+        yield path
+    finally:
+        _RUNS.remove(path)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint
     folder and reading it back.
@@ -78,7 +96,7 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     cluster names in ``spark.checkpoint.dir``, so the table survives the loss
     of any executor."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+    root = _RUNS[-1] if _RUNS else ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/sparkmart-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

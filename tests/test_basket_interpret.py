@@ -1,3 +1,4 @@
+import itertools
 import tempfile
 
 import numpy as np
@@ -135,3 +136,44 @@ def test_single_cluster_inertia_closed_form(spark):
     got = segment.single_cluster_inertia(df, ("a", "b")).first()["inertia"]
     x = np.array([[r[1], r[2]] for r in rows])
     assert got == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
+
+
+def test_rank_selection_goes_through_all_passes(spark, monkeypatch):
+    """Values that share their leading bits, odd values, and every number of passes."""
+    from sparkmart.operators import quantiles
+    rng = np.random.default_rng(4)
+    a = np.concatenate([1 + rng.integers(0, 50, 300) * 2.0 ** -52, rng.normal(size=200) * 10.0 ** rng.integers(-300, 300, 200), [0.0, -0.0, np.inf, -np.inf]])
+    rows = [(float(v), float(i % 2), None, float("nan") if i % 3 == 0 else -float(i)) for i, v in enumerate(a)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    probs = [0.0, 0.2, 0.25, 0.5, 0.6, 1.0]
+    for few in (0, 10, 1 << 16):
+        monkeypatch.setattr(quantiles, "FEW", few)
+        q = exact_quantiles(df, ["a", "b", "c", "d"], probs).first()
+        with np.errstate(invalid="ignore"):
+            assert q["a"][1:-1] == pytest.approx(list(np.quantile(a, probs[1:-1])), rel=1e-12) and (q["a"][0], q["a"][-1]) == (-np.inf, np.inf)
+        assert q["b"] == [0.0, 0.0, 0.0, 0.5, 1.0, 1.0] and q["c"] is None
+        assert q["d"][0] == -503.0 and np.isnan(q["d"][-1])
+    assert exact_quantiles(df.where("false"), ["a"], [0.5]).first()["a"] is None
+    bits = quantiles.ordered_bits(np.sort(a))
+    assert (np.diff(bits.astype(object)) >= 0).all() and (quantiles.doubles_of(bits) == np.sort(a)).all()
+
+
+def test_rules_grow_by_level(spark):
+    """All splits of itemsets of up to five items; a long itemset alone; falling confidence."""
+    names = "abcde"
+    freq = {frozenset(s): 100 - 13 * len(s) - sum(map(ord, s)) % 7 for n in range(1, 6) for s in itertools.combinations(names, n)}
+    rows = [(sorted(s), f / 100, len(s)) for s, f in freq.items()] + [([f"i{j:02}" for j in range(31)], 0.1, 31)]
+    sets = spark.createDataFrame(rows, "items array<string>, support double, n_items int")
+    got = {(tuple(r.antecedents), tuple(r.consequents)): (r.support, r.confidence, r.lift) for r in basket.association_rules(sets, 0.0).collect()}
+    want = {}
+    for s, f in freq.items():
+        for n in range(1, len(s)):
+            for left in itertools.combinations(sorted(s), n):
+                right = tuple(sorted(s - set(left)))
+                conf = f / freq[frozenset(left)]
+                want[left, right] = (round(f / 100, 6), round(conf, 6), round(conf / (freq[frozenset(right)] / 100), 6))
+    assert set(got) == set(want)
+    assert all(got[k] == pytest.approx(want[k], abs=2e-6) for k in want)
+    sure = basket.association_rules(sets, 0.0, min_confidence=0.6).collect()
+    assert {(tuple(r.antecedents), tuple(r.consequents)) for r in sure} == {k for k, v in want.items() if v[1] >= 0.6}
+    assert basket.association_rules(sets.where("n_items = 1")).count() == 0 == basket.association_rules(sets.where("n_items = 31")).count()
