@@ -33,6 +33,7 @@ from sparkmart.session import reliable_checkpoint
 
 from .graph import components
 from .kernels import mix
+from .names import fresh
 
 SEED = 42
 BLOCKS = 6
@@ -212,7 +213,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> D
     linked = components(links(prints.select("fp"), most))
     of = (prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
           .select("fp", "least", F.coalesce("component", "fp").alias("component")))
-    least = of.groupBy("component").agg(F.min("least").alias("component_id"))
+    # a written table: where it is small Spark broadcasts it, and a large component is not sent to one task
+    least = reliable_checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id")))
     named = reliable_checkpoint(of.join(least, "component").select("fp", "component_id", "component"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id", "component")
 
@@ -222,29 +224,30 @@ def hex_of(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 4, most: int = 4) -> DataFrame:
-    """One row of each group of near-duplicates, with all columns: the one with
-    the smallest doc_id (any one of the rows that repeat it).  Rows without a
-    doc_id stay only if no row of their group has one, and then one of them.  The
-    rows that go are told by doc_id, and by fingerprint where an id is null or
-    repeated; where that list is too long for Spark to broadcast, the texts are
-    shuffled once by those keys."""
+    """One row of each group of near-duplicates, with all columns whatever their
+    names: the one with the smallest doc_id (any one of the rows that repeat it).
+    Rows without a doc_id stay only if no row of their group has one, and then one
+    of them.  The rows that go are told by doc_id, and by fingerprint where an id is
+    null or repeated.  Their list is a written table, so Spark knows its size: a
+    short one is broadcast, for a long one the texts are shuffled once by its keys."""
+    own_id, own_fp, id_, fp = fresh(docs, "_gone", "_own", "_id", "_fp")
     found = reliable_checkpoint(near_duplicates(docs, shingle_words, most))
     unclear = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
     if not unclear.limit(1).count():
-        gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+        gone = reliable_checkpoint(found.where("doc_id <> component_id").select(F.col("doc_id").alias(own_id)))
+        return docs.join(gone, F.col("doc_id") == F.col(own_id), "left_anti")
     # an id alone does not tell the rows apart: id and fingerprint do, but for copies
     rows = found.groupBy("doc_id", "fp", "component_id", "component").agg(F.count("*").alias("n"))
     kept = reliable_checkpoint(
         rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component").agg(F.min(F.struct("fp", "doc_id", "n")).alias("k")).select(
-            F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_fp"), "k.n"))
-    gone = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")), "left_anti").select(
-        F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
-    copies = kept.where("n > 1").select("_id", "_fp")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_fp"))
-    left = docs.withColumn("_own", fingerprint(F.col("text"), shingle_words)).join(gone, same, "left_anti")
+            F.col("k.doc_id").alias(id_), F.col("k.fp").alias(fp), "k.n"))
+    gone = reliable_checkpoint(rows.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col("fp") == F.col(fp)), "left_anti").select(
+        F.col("doc_id").alias(id_), F.col("fp").alias(fp)))
+    copies = kept.where("n > 1").select(id_, fp)
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own_fp) == F.col(fp))
+    left = docs.withColumn(own_fp, fingerprint(F.col("text"), shingle_words)).join(gone, same, "left_anti")
     if copies.limit(1).count():
         left = left.join(copies, same, "left_anti").unionByName(
-            left.join(copies, same, "left_semi").dropDuplicates(["doc_id", "_own"]))
-    return left.drop("_own")
+            left.join(copies, same, "left_semi").dropDuplicates(["doc_id", own_fp]))
+    return left.drop(own_fp)
