@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from sparkmart.session import reliable_checkpoint
 
 from .kernels import ALNUM, gram_hashes, lower_ascii, mix, rows_of, text_chunks, word_hashes, word_spans
+from .names import fresh
 
 WINDOW = 13
 GRAM = 7
@@ -216,11 +217,13 @@ def is_contaminated() -> Column:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text is contaminated; all columns stay."""
-    bad = (find_contamination(docs, benchmark).where(is_contaminated())
-           .select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("_bad_key")), "left_anti")
+    """``docs`` without the rows whose text is contaminated; all columns stay, whatever
+    their names.  The list of those rows is a written table, so Spark knows its size:
+    a short one is broadcast, for a long one the texts are shuffled once by its keys."""
+    id_, key = fresh(docs, "_bad_id", "_bad_key")
+    bad = reliable_checkpoint(find_contamination(docs, benchmark).where(is_contaminated())
+                              .select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct())
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key)), "left_anti")
 
 
 def _type_of(df: DataFrame, name: str) -> str:
