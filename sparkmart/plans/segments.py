@@ -129,6 +129,15 @@ def kmeans_inertia_sweep(spark, sf_dir):
                                  "k int, inertia double, chosen boolean")
 
 
+@register("kmeans_centres", covers=("M3",))
+def kmeans_centres(spark, sf_dir):
+    """The centres of every k of the sweep with their rows and the k's inertia."""
+    sc = reliable_checkpoint(segment.robust_scale(_profile(spark, sf_dir), stored=True))
+    found = segment.lloyd(sc, range(2, len(FEATS) + 1))
+    rows = [(k, i, int(n[i]), inertia, *map(float, c)) for k, (centres, n, inertia) in found.items() for i, c in enumerate(centres)]
+    return spark.createDataFrame(rows, "k int, cluster int, n bigint, inertia double, " + ", ".join(f"{c} double" for c in FEATS))
+
+
 @register("customer_segments", covers=("M1", "M3", "M4", "M5"))
 def customer_segments(spark, sf_dir):
     prof = _profile(spark, sf_dir)

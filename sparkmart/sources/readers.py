@@ -82,8 +82,9 @@ def read_jdbc(spark: SparkSession, **kw) -> DataFrame:
 
 
 def read_typed_csv(spark: SparkSession, path: str, ddl: str, header: bool = True) -> DataFrame:
-    """Bulk CSV load into a typed schema given as DDL text."""
-    return spark.read.schema(ddl).option("header", str(header).lower()).option("mode", "PERMISSIVE").csv(path)
+    """Bulk CSV load into a typed schema given as DDL text; a header must name its columns."""
+    return (spark.read.schema(ddl).option("header", str(header).lower()).option("enforceSchema", str(not header).lower())
+            .option("mode", "PERMISSIVE").csv(path))
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:

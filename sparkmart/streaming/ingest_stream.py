@@ -77,7 +77,11 @@ def start_silver_stream(spark: SparkSession, config, input_dir: str, output_path
     cfg = config if isinstance(config, TableConfig) else parse_config(config)
     df = silver_stream(spark, cfg, input_dir, dt, read_format, options)
 
-    def append(batch: DataFrame, _batch_id: int) -> None:
+    def append(batch: DataFrame, batch_id: int) -> None:
+        if not cfg.primary_key:      # nothing tells a row from one that a first, lost run of this batch wrote: replace that run's folders
+            (batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*PARTS, *cfg.extra_partition_columns, "_batch").parquet(output_path))
+            return
         (new_rows(batch, cfg, output_path).write.mode("append")
          .partitionBy(*PARTS, *cfg.extra_partition_columns).parquet(output_path))
 

@@ -6,6 +6,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from sparkmart.sources import readers
+
 from sparkmart.plans import registry
 from tests.conftest import SF001
 
@@ -34,3 +36,13 @@ def test_partition_reload_replaces_only_its_year(spark):
     df = registry.queries()["silver_from_csv"](spark, SF001)
     by_year = {r[0]: r[1] for r in df.groupBy("ptn_yyyy").agg({"_ingestion_date": "max"}).collect()}
     assert [y for y, d in by_year.items() if str(d) == "2024-11-10"] == [1997]
+
+
+def test_a_typed_load_checks_the_header(spark, tmp_path):
+    """Columns in another order are an error, not swapped values."""
+    (tmp_path / "x.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_typed_csv(spark, str(tmp_path / "x.csv"), "a int, b int").collect()
+    assert [tuple(r) for r in readers.read_typed_csv(spark, str(tmp_path / "x.csv"), "b int, a int").collect()] == [(1, 2)]
+    (tmp_path / "y.csv").write_text("1,2\n")
+    assert [tuple(r) for r in readers.read_typed_csv(spark, str(tmp_path / "y.csv"), "a int, b int", header=False).collect()] == [(1, 2)]

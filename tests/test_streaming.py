@@ -49,3 +49,20 @@ def test_late_rows_are_kept(spark):
                                         line.format(1, "3/10/2024"), line.format(6, "not a date")])
     start_silver_stream(spark, INVOICE_CONFIG, src, out, ck, dt="2024-11-09").awaitTermination(120)
     assert sorted(r.document for r in spark.read.parquet(out).select("document").collect()) == list("123456")
+
+
+def test_a_keyless_batch_that_runs_again_adds_nothing(spark):
+    root = tempfile.mkdtemp(prefix="sparkmart-keyless-")
+    src, out, ck = (os.path.join(root, x) for x in ("in", "out", "ck"))
+    os.makedirs(src)
+    line = "{},22633,HAND WARMER,6,3/10/2024 8:28,1.85,17850.0,France"
+    config = {**INVOICE_CONFIG, "primary_key": []}
+    _write(os.path.join(src, "a.csv"), [line.format(1), line.format(1), line.format(2)])
+    start_silver_stream(spark, config, src, out, ck, dt="2024-11-09").awaitTermination(120)
+    for f in os.listdir(os.path.join(ck, "commits")):      # the driver is lost after the write, before the commit
+        os.remove(os.path.join(ck, "commits", f))
+    start_silver_stream(spark, config, src, out, ck, dt="2024-11-09").awaitTermination(120)
+    assert sorted(r.document for r in spark.read.parquet(out).collect()) == ["1", "1", "2"]
+    _write(os.path.join(src, "b.csv"), [line.format(1)])
+    start_silver_stream(spark, config, src, out, ck, dt="2024-11-09").awaitTermination(120)
+    assert spark.read.parquet(out).count() == 4
