@@ -1,17 +1,21 @@
-"""Language-model scoring: an interpolated modified Kneser-Ney bigram model.
+"""Language-model scoring: an interpolated modified Kneser-Ney model of any order.
 
 Counting.  Tasks reduce their texts to distinct words (64-bit hashes) and then
-to distinct bigrams of word numbers before anything is shuffled; Spark deals the
-packed, compressed runs to shards by hash, so a frequent word or pair costs each
-task one entry.  A shard's task merges its runs into sorted arrays and writes
-them to the shared folder.
+to distinct grams before anything is shuffled; Spark deals the packed, compressed
+runs to shards by hash, so a frequent word or gram costs each task one entry.  A
+shard's task merges its runs into sorted arrays and writes them to the shared
+folder.  A gram of m words is the place of its first m - 1 words among the grams
+of that length and the number of its last word, one 64-bit key; words are counted
+first, then pairs, and so on.
 
 Model.  Sorted hash arrays: the vocabulary's word hashes with counts (a word's
-place is its number), per word number its continuation count and its totals as a
-history, and the bigrams' mixed 64-bit keys (the mixing is a bijection, so keys
-never collide) split into single ones and others with counts.
+place is its number); the grams' mixed keys (the mixing is a bijection, so keys
+never collide), of the highest order split into single ones and others with counts.
+Below that order a gram counts the distinct words before it, and grams at a text's
+beginning, which none precede, their occurrences.  As a history a word or gram
+has the sum of what follows it and how many follow once, twice and more often.
 
-Scoring.  Workers map the arrays into memory and look words and pairs up with
+Scoring.  Workers map the arrays into memory and look words and grams up with
 binary searches, a run of texts at a time.  A shared folder that is no file
 system of the machine is first copied to the worker's scratch folder, file by
 file as needed.
@@ -41,6 +45,7 @@ FOLDS, FOLD = 7, 2
 RUN_BYTES = 8 << 20                  # text handled at once
 HELD_KEYS = 4 << 20                  # distinct keys a task holds before it hands them on
 SHARD_TOKENS = 4 << 20
+ORDER = 3
 END = np.uint64(0x5E0F_E2D5_0A11_C0DE)
 
 
@@ -194,6 +199,18 @@ class Vocabulary:
         return out[back]
 
 
+_UNDO = [np.uint64(pow(f, -1, 1 << 64)) for f in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+
+
+def unmix(h: np.ndarray) -> np.ndarray:
+    """The value that ``mix`` turned into h."""
+    h = h ^ (h >> np.uint64(31)) ^ (h >> np.uint64(62))
+    h = h * _UNDO[1]
+    h = h ^ (h >> np.uint64(27)) ^ (h >> np.uint64(54))
+    h = h * _UNDO[0]
+    return h ^ (h >> np.uint64(30)) ^ (h >> np.uint64(60))
+
+
 def _pairs(numbers: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(history number, pair key): the word before, or size + 1 at a text's start."""
     history = np.empty_like(numbers)
@@ -202,6 +219,62 @@ def _pairs(numbers: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarr
     return history, history.astype(np.uint64) * np.uint64(size + 2) + numbers.astype(np.uint64)
 
 
+def _longer(places: np.ndarray, numbers: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(history place, key) of the grams one word longer than those that end at every token
+    with ``places``; the place is -1 where the text has no such gram or it is unknown."""
+    history = np.empty_like(places)
+    history[1:] = places[:-1]
+    history[bounds[:-1]] = -1
+    return history, np.maximum(history, 0).astype(np.uint64) * np.uint64(size + 2) + numbers.astype(np.uint64)
+
+
+class Grams:
+    """The grams of one length below the order: ``sizes`` of their shards."""
+
+    def __init__(self, store: Store, length: int, sizes: list[int]):
+        self.base = np.concatenate(([0], np.cumsum(sizes)))
+        self.shards = [store.load(f"grams{length}/{i}", "<u8") for i in range(len(sizes))]
+        if [len(x) for x in self.shards] != list(sizes):
+            raise OSError(f"the model's files in {store.root} are not whole")
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """-1 for keys that no gram has."""
+        distinct, back = np.unique(mix(keys), return_inverse=True)
+        out = np.full(len(distinct), -1, np.int64)
+        cuts = _cuts(distinct, len(self.shards))
+        for i, shard in enumerate(self.shards):
+            part = distinct[cuts[i]:cuts[i + 1]]
+            if len(part) and len(shard):
+                at = np.minimum(np.searchsorted(shard, part), len(shard) - 1)
+                out[cuts[i]:cuts[i + 1]] = np.where(shard[at] == part, at + self.base[i], -1)
+        return out[back]
+
+    def keys_at(self, places: np.ndarray) -> np.ndarray:
+        out = np.empty(len(places), np.uint64)
+        of = np.searchsorted(self.base, places, "right") - 1
+        for i, shard in enumerate(self.shards):
+            mine = of == i
+            if mine.any():
+                out[mine] = unmix(shard[places[mine] - self.base[i]])
+        return out
+
+
+def _suffixes(levels: dict[int, Grams], length: int, keys: np.ndarray, span: np.uint64) -> np.ndarray:
+    """Place of the gram that a gram leaves without its first word (a word's number for pairs)."""
+    if length == 2:
+        return keys % span
+    lower = levels[length - 1]
+    before = _suffixes(levels, length - 1, lower.keys_at((keys // span).astype(np.int64)), span)
+    return lower.places(before * span + keys % span).astype(np.uint64)
+
+
+def _at_start(levels: dict[int, Grams], length: int, keys: np.ndarray, span: np.uint64) -> np.ndarray:
+    """Whether a gram's first word is a text's start."""
+    if length == 2:
+        return keys // span == span - np.uint64(1)
+    return _at_start(levels, length - 1, levels[length - 1].keys_at((keys // span).astype(np.int64)), span)
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """Discounts of counts 0, 1, 2, and 3 or more from the numbers of types with
     counts 1 to 4; the usual fixed ones where a number is zero."""
@@ -218,13 +291,16 @@ def _count_classes(c: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """What scoring needs besides the arrays: sizes and discounts."""
+    """What scoring needs besides the arrays: sizes and discounts.  ``classes[m]`` are the
+    numbers of grams of m words with counts 1 to 4."""
 
-    def __init__(self, root: str, tokens: int, sizes: list[int], pair_shards: int, pair_types: int,
-                 pair_classes: np.ndarray, next_classes: np.ndarray, next_mass: np.ndarray):
-        self.root, self.tokens, self.sizes, self.pair_shards, self.pair_types = root, tokens, sizes, pair_shards, pair_types
+    def __init__(self, root: str, tokens: int, sizes: list[int], gram_sizes: dict[int, list[int]], top_shards: int, top_types: int,
+                 pair_types: int, classes: dict[int, np.ndarray], next_classes: np.ndarray, next_mass: np.ndarray):
+        self.root, self.tokens, self.sizes, self.gram_sizes, self.top_shards = root, tokens, sizes, gram_sizes, top_shards
+        self.top_types, self.pair_types, self.order = top_types, pair_types, max(classes)
         self.words = sum(sizes)
-        self.pair_discounts, self.next_discounts = discounts(pair_classes), discounts(next_classes)
+        self.gram_discounts = {m: discounts(c) for m, c in classes.items()}
+        self.next_discounts = discounts(next_classes)
         self.next_mass = next_mass               # words that follow 1, 2, and 3 or more distinct words
 
     def open(self) -> "Model":
@@ -234,28 +310,29 @@ class Model:
         self.counts = [store.load(f"counts/{i}", "<u8") for i in n]
         self.unigrams = [store.load(f"unigrams/{i}", "<u8").reshape(-1, 5) for i in n]
         self.starts = store.load("starts", "<u8")
-        self.single = [store.load(f"single/{i}", "<u8") for i in range(self.pair_shards)]
-        self.multiple = [store.load(f"multiple/{i}", "<u8") for i in range(self.pair_shards)]
-        self.times = [store.load(f"times/{i}", "<u4") for i in range(self.pair_shards)]
-        if sum(map(len, self.single + self.multiple)) != self.pair_types or sum(map(len, self.counts)) != self.words:
+        self.grams = {m: Grams(store, m, sizes) for m, sizes in self.gram_sizes.items()}
+        self.about = {m: [store.load(f"about{m}/{i}", "<u4").reshape(-1, 5) for i in range(len(sizes))] for m, sizes in self.gram_sizes.items()}
+        self.single = [store.load(f"single/{i}", "<u8") for i in range(self.top_shards)]
+        self.multiple = [store.load(f"multiple/{i}", "<u8") for i in range(self.top_shards)]
+        self.times = [store.load(f"times/{i}", "<u4") for i in range(self.top_shards)]
+        if sum(map(len, self.single + self.multiple)) != self.top_types or sum(map(len, self.counts)) != self.words:
             raise OSError(f"the model's files in {self.root} are not whole")
         return self
 
-    def _by_number(self, shards: list[np.ndarray], numbers: np.ndarray) -> np.ndarray:
-        """Rows of arrays that are split by ranges of word numbers; zeros for unknown words."""
-        distinct, back = np.unique(numbers, return_inverse=True)
+    def _rows(self, shards: list[np.ndarray], base: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Rows of arrays that are split by ranges of places; zeros for places that none has."""
+        distinct, back = np.unique(places, return_inverse=True)
         out = np.zeros((len(distinct), *shards[0].shape[1:]), np.uint64)
-        base = self.vocabulary.base
         cuts = np.searchsorted(distinct, base)
         for i, shard in enumerate(shards):
             out[cuts[i]:cuts[i + 1]] = shard[distinct[cuts[i]:cuts[i + 1]] - base[i]]
         return out[back]
 
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
+    def top_counts(self, keys: np.ndarray) -> np.ndarray:
         distinct, back = np.unique(mix(keys), return_inverse=True)
         out = np.zeros(len(distinct), np.int64)
-        cuts = _cuts(distinct, self.pair_shards)
-        for i in range(self.pair_shards):
+        cuts = _cuts(distinct, self.top_shards)
+        for i in range(self.top_shards):
             part = distinct[cuts[i]:cuts[i + 1]]
             for array, times in ((self.single[i], None), (self.multiple[i], self.times[i])):
                 if len(part) and len(array):
@@ -267,26 +344,35 @@ class Model:
     def score(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per text: tokens, known tokens, base score, model score."""
         numbers = self.vocabulary.numbers(hashes)
-        history, keys = _pairs(numbers, bounds, self.words)
-        count = self._by_number(self.counts, numbers).astype(float)
+        words = self.vocabulary.base
+        count = self._rows(self.counts, words, numbers).astype(float)
         base = np.log10((count + 1) / (self.tokens + self.words + 1))
 
-        following = self._by_number(self.unigrams, numbers)[:, 0].astype(np.int64)      # distinct words before it
+        following = self._rows(self.unigrams, words, numbers)[:, 0].astype(np.int64)      # distinct words before it
         spare = self.next_discounts
         if self.pair_types:
             left = (self.next_mass @ spare[1:]) / self.pair_types
-            unigram = (following - spare[np.minimum(following, 3)]) / self.pair_types + left / (self.words + 1)
+            p = (following - spare[np.minimum(following, 3)]) / self.pair_types + left / (self.words + 1)
         else:
-            unigram = np.full(len(numbers), 1.0 / (self.words + 1))
-        about = self._by_number(self.unigrams, history)[:, 1:].astype(float)
+            p = np.full(len(numbers), 1.0 / (self.words + 1))
+        history, keys = _pairs(numbers, bounds, self.words)
+        about = self._rows(self.unigrams, words, history)[:, 1:].astype(float)
         if len(self.starts):
             about[history == self.words + 1] = self.starts.astype(float)
-        total = about[:, 0]
-        pair = self.pair_counts(keys)
-        d = self.pair_discounts
-        with np.errstate(divide="ignore", invalid="ignore"):
-            p = (pair - d[np.minimum(pair, 3)]) / total + (about[:, 1:] @ d[1:]) / total * unigram
-        p = np.where(total > 0, p, unigram)
+        for m in range(2, self.order + 1):
+            if m < self.order:
+                places = np.where(history >= 0, self.grams[m].places(keys), -1)
+                times = self._rows(self.about[m], self.grams[m].base, places)[:, 0].astype(np.int64)
+            else:
+                times = self.top_counts(keys)
+            total = about[:, 0]
+            d = self.gram_discounts[m]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                longer = (times - d[np.minimum(times, 3)]) / total + (about[:, 1:] @ d[1:]) / total * p
+            p = np.where(total > 0, longer, p)
+            if m < self.order:
+                history, keys = _longer(places, numbers, bounds, self.words)
+                about = self._rows(self.about[m], self.grams[m].base, history)[:, 1:].astype(float)
         sums = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  every text has an end token
         return np.diff(bounds), sums((count > 0).astype(np.int64)), sums(base), sums(np.log10(p))
 
@@ -295,8 +381,12 @@ def _held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == FOLD, F.lit(False))
 
 
-def train(docs: DataFrame) -> Model:
-    """Counts every text of ``docs`` (column text) that is not in the held-out fold."""
+def train(docs: DataFrame, order: int = ORDER) -> Model:
+    """Counts every text of ``docs`` (column text) that is not in the held-out fold.
+
+    A gram's key is a place times the words: (grams of order - 1) * (words + 2) must stay below 2^64."""
+    if order < 2:
+        raise ValueError("the order is two at least")
     spark = docs.sparkSession
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ngram-{uuid.uuid4().hex}"
     store = Store(root)
@@ -323,52 +413,109 @@ def train(docs: DataFrame) -> Model:
     tokens, n_words = sum(r.tokens for r in found), sum(sizes)
     base = np.concatenate(([0], np.cumsum(sizes)))
     span = np.uint64(n_words + 2)
-    pair_shards = _power(tokens / SHARD_TOKENS)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(store, sizes)
-        runs = (_pairs(vocabulary.numbers(tokens), bounds, n_words)[1] for b in batches for _, _, tokens, bounds in _token_runs(b.column(0)))
-        for keys, n in _counted(runs):
-            shard = _shard_of(mix(keys), pair_shards)
-            for i in range(pair_shards):
-                own = shard == i
-                if own.any():
-                    yield _run_batch([(i, pack(keys[own], n[own]))])
-
-    def save_pairs(table: pa.Table) -> pa.Table:
-        """Writes the shard and hands on what it adds to each word's totals, by
-        vocabulary shard: as the second word, and as the history."""
-        shard = table.column("shard")[0].as_py()
-        keys, n = _unpacked(table)
-        mixed = mix(keys)
-        order = np.argsort(mixed)
-        ordered, times = mixed[order], n[order]
-        store.save(f"single/{shard}", ordered[times == 1])
-        store.save(f"multiple/{shard}", ordered[times > 1])
-        store.save(f"times/{shard}", times[times > 1].astype("<u4"))
-        out: list[tuple[int, bytes]] = []
+    shards = _power(tokens / SHARD_TOKENS)
+    levels: dict[int, list[int]] = {}           # lengths below the order: sizes of their shards
+
+    def opened(length: int) -> dict[int, Grams]:
+        return {m: Grams(store, m, levels[m]) for m in range(2, length)}
+
+    def counted(length: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vocabulary, lower = Vocabulary(store, sizes), opened(length)
+
+            def keys_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+                numbers = vocabulary.numbers(hashes)
+                history, keys = _pairs(numbers, bounds, n_words)
+                for m in range(2, length):
+                    history, keys = _longer(np.where(history >= 0, lower[m].places(keys), -1), numbers, bounds, n_words)
+                return keys[history >= 0]
+            for keys, n in _counted(keys_of(tokens, bounds) for b in batches for _, _, tokens, bounds in _token_runs(b.column(0))):
+                shard = _shard_of(mix(keys), shards)
+                order_ = np.argsort(shard, kind="stable")
+                cuts = np.searchsorted(shard[order_], np.arange(shards + 1))
+                for i in range(shards):
+                    if cuts[i + 1] > cuts[i]:
+                        own = order_[cuts[i]:cuts[i + 1]]
+                        yield _run_batch([(i, pack(keys[own], n[own]))])
+        return texts.mapInArrow(run, _RUN).groupBy("shard")
+
+    def adds(length: int, keys: np.ndarray, n: np.ndarray) -> pa.Table:
+        """What grams of a length with counts ``n`` add to the totals of those one shorter, by
+        their shards: as the last words, and as the history.  With it the numbers of grams by count."""
+        base_ = base if length == 2 else np.concatenate(([0], np.cumsum(levels[length - 1])))
         one = np.ones(len(keys), np.uint64)
         zero = np.zeros(len(keys), np.uint64)
-        last, history = keys % span, keys // span
+        last, history = _suffixes(opened(length), length, keys, span), keys // span
         classes = [(n == 1).astype(np.uint64), (n == 2).astype(np.uint64), (n >= 3).astype(np.uint64)]
         both = merge(np.concatenate((last, history)), np.concatenate((one, zero)), np.concatenate((zero, n)),
                      *[np.concatenate((zero, c)) for c in classes])
-        cuts = np.searchsorted(both[0], base.astype(np.uint64))
-        for i in range(word_shards):
+        cuts = np.searchsorted(both[0], base_.astype(np.uint64))
+        out: list[tuple[int, bytes]] = []
+        for i in range(len(base_) - 1):
             a, z = cuts[i], cuts[i + 1]
             if z > a:
                 out.append((i, pack(*[c[a:z] for c in both])))
         if cuts[-1] < len(both[0]):                                # the start of texts, a history only
-            out.append((word_shards, pack(*[c[cuts[-1]:] for c in both])))
+            out.append((len(base_) - 1, pack(*[c[cuts[-1]:] for c in both])))
+        if not out:
+            out.append((0, pack(*[c[:0] for c in both])))
         found = _count_classes(n)
         return pa.table({"shard": pa.array([i for i, _ in out], pa.int32()), "data": pa.array([d for _, d in out], pa.binary()),
                          **{f"n{j + 1}": pa.array([int(v)] + [0] * (len(out) - 1), pa.int64()) for j, v in enumerate(found)},
                          "types": pa.array([len(keys)] + [0] * (len(out) - 1), pa.int64())})
-
-    added = reliable_checkpoint(
-        texts.mapInArrow(pairs, _RUN).groupBy("shard")
-        .applyInArrow(save_pairs, "shard int, data binary, n1 bigint, n2 bigint, n3 bigint, n4 bigint, types bigint"))
-    of_pairs = added.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n1", "n2", "n3", "n4", "types")]).first()
+    added_schema = "shard int, data binary, n1 bigint, n2 bigint, n3 bigint, n4 bigint, types bigint"
+
+    def save_grams(length: int):
+        def save(table: pa.Table) -> pa.Table:
+            shard = table.column("shard")[0].as_py()
+            keys, n = _unpacked(table)
+            mixed = mix(keys)
+            order_ = np.argsort(mixed)
+            store.save(f"grams{length}/{shard}", mixed[order_])
+            store.save(f"occurrences{length}/{shard}", n[order_].astype("<u4"))
+            return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64())})
+        return save
+
+    def save_top(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        keys, n = _unpacked(table)
+        mixed = mix(keys)
+        order_ = np.argsort(mixed)
+        ordered, times = mixed[order_], n[order_]
+        store.save(f"single/{shard}", ordered[times == 1])
+        store.save(f"multiple/{shard}", ordered[times > 1])
+        store.save(f"times/{shard}", times[times > 1].astype("<u4"))
+        return adds(order, keys, n)
+
+    def save_about(length: int):
+        """A lower length's counts and totals: (count, sum of what follows, how many follow once, twice, more often)."""
+        def save(table: pa.Table) -> pa.Table:
+            shard = table.column("shard")[0].as_py()
+            places, *columns = _unpacked(table)
+            first = sum(levels[length][:shard])
+            rows = np.zeros((levels[length][shard], 5), np.uint64)
+            rows[places.astype(np.int64) - first] = np.stack(columns, axis=1)
+            keys = unmix(np.array(store.load(f"grams{length}/{shard}", "<u8")))
+            begins = _at_start(opened(length), length, keys, span)
+            rows[begins, 0] = store.load(f"occurrences{length}/{shard}", "<u4")[begins]
+            store.save(f"about{length}/{shard}", rows.astype("<u4"))
+            return adds(length, keys, rows[:, 0])
+        return save
+
+    for length in range(2, order):
+        found = counted(length).applyInArrow(save_grams(length), "shard int, n bigint").collect()      # a row for each shard
+        levels[length] = [0] * shards
+        for r in found:
+            levels[length][r.shard] = r.n
+    added = reliable_checkpoint(counted(order).applyInArrow(save_top, added_schema))
+    names = ("n1", "n2", "n3", "n4", "types")
+    of_grams = {order: added.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()}
+    for length in range(order - 1, 1, -1):
+        # a shard to which nothing was added is written too
+        empty = pack(*[np.zeros(0, np.uint64)] * 6)
+        every = spark.createDataFrame([(i, bytearray(empty)) for i, n in enumerate(levels[length]) if n] or [(0, bytearray(empty))], _RUN)
+        added = reliable_checkpoint(added.select("shard", "data").unionByName(every).groupBy("shard").applyInArrow(save_about(length), added_schema))
+        of_grams[length] = added.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
 
     def save_unigrams(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -388,10 +535,11 @@ def train(docs: DataFrame) -> Model:
     of_words = (added.select("shard", "data").groupBy("shard")
                 .applyInArrow(save_unigrams, "n1 bigint, n2 bigint, n3 bigint, n4 bigint, m1 bigint, m2 bigint, m3 bigint")
                 .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n1", "n2", "n3", "n4", "m1", "m2", "m3")]).first())
-    return Model(root, tokens, sizes, pair_shards, of_pairs.types, np.array(of_pairs[:4]), np.array(of_words[:4]), np.array(of_words[4:], float))
+    return Model(root, tokens, sizes, levels, shards, of_grams[order].types, of_grams[2].types,
+                 {m: np.array(r[:4]) for m, r in of_grams.items()}, np.array(of_words[:4]), np.array(of_words[4:], float))
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of
     every row of ``docs`` (doc_id, text); training leaves out the held-out fold.
 
@@ -401,7 +549,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     word has the same probability of 1.  Only the named columns are read.
     """
     docs = docs.select("doc_id", "text")
-    model = train(docs)
+    model = train(docs, order)
     kept = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

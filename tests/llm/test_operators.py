@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sparkmart.llm import (bpe, chat, covertree, decontaminate, divergence, graph, kneserney, packing, quality, secrets, simhash,
+from sparkmart.llm import (bpe, chat, covertree, decontaminate, divergence, graph, kernels, kneserney, packing, quality, secrets, simhash,
                            toxicity, training, trigrams, urlfilter, whitening)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -364,6 +364,11 @@ def test_whitening(spark):
     assert whitening.whiten(_empty(frame)).count() == 0 == whitening.whiten(frame.where("vec_id = 900")).count()
 
 
+def test_unmix_undoes_mix():
+    x = np.random.default_rng(1).integers(0, 2 ** 63, 1000).astype(np.uint64) * np.uint64(2)
+    assert (kneserney.unmix(kernels.mix(x)) == x).all()
+
+
 def test_gram_is_exact():
     y = np.array([[2 ** 30, -3], [5, 2 ** 31 - 1], [-7, 11]], np.int64)
     want = [[sum(int(a) * int(b) for a, b in zip(y[:, i], y[:, j])) for j in range(2)] for i in range(2)]
@@ -515,8 +520,64 @@ def test_language_model(spark, docs):
     assert kneserney.score_documents(_empty(docs)).count() == 0
 
 
-def test_model_probabilities_sum_to_one(spark, docs):
-    model = kneserney.train(docs.where("doc_id IS NOT NULL")).open()
+def _kneser_ney(texts, order):
+    """log10 probability of a text by the definition: interpolated modified Kneser-Ney over
+    tuples of tokens, from raw counts of the highest order and numbers of distinct words before
+    a shorter gram (occurrences where it begins a text)."""
+    start, raw = ("<s>",), [{} for _ in range(order + 1)]
+    for w in texts:
+        for i in range(len(w)):
+            for m in range(1, order + 1):
+                gram = ((start if i - m + 1 == -1 else ()) + tuple(w[max(0, i - m + 1):i + 1]))
+                if len(gram) == m:
+                    raw[m][gram] = raw[m].get(gram, 0) + 1
+    count = [None] * (order + 1)
+    count[order] = raw[order]
+    for m in range(order - 1, 0, -1):
+        before = {}
+        for gram in raw[m + 1]:
+            before[gram[1:]] = before.get(gram[1:], 0) + 1
+        count[m] = {g: raw[m][g] if g[0] == "<s>" else before[g] for g in raw[m]}
+    spare, about = [None] * (order + 1), [None] * (order + 1)
+    for m in range(1, order + 1):
+        spare[m] = kneserney.discounts(np.array([sum(c == k for c in count[m].values()) for k in (1, 2, 3, 4)]))
+        about[m] = {}
+        for g, c in count[m].items():
+            total = about[m].setdefault(g[:-1], [0, 0, 0, 0])
+            total[0] += c
+            total[min(c, 3)] += 1
+    size = len(raw[1])
+
+    def p(gram):
+        m = len(gram)
+        below = p(gram[1:]) if m > 1 else 1 / (size + 1)
+        total = about[m].get(gram[:-1])
+        if not total:
+            return below
+        c = count[m].get(gram, 0)
+        return (c - spare[m][min(c, 3)]) / total[0] + sum(spare[m][k] * total[k] for k in (1, 2, 3)) / total[0] * below
+
+    def score(w):
+        return sum(np.log10(p(((start if i - order + 1 < 0 else ()) + tuple(w[max(0, i - order + 1):i + 1]))[-order:])) for i in range(len(w)))
+    return score
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model_by_definition(spark, docs, order, monkeypatch):
+    monkeypatch.setattr(kneserney, "SHARD_TOKENS", 512)           # several shards of a small corpus
+    rows = docs.where("doc_id IS NOT NULL AND gram = 'clash'")
+    out = {r.doc_id: r.score for r in kneserney.score_documents(rows, order).collect()}
+    tokens = {i: TOKEN.findall((t or "").translate(LOWER)) + ["</end>"] for i, t in enumerate(TEXTS)}
+    score = _kneser_ney([w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2], order)
+    assert len(out) == len(TEXTS)
+    for i, w in tokens.items():
+        assert out[i] == pytest.approx(score(w), rel=1e-9), i
+    assert kneserney.score_documents(_empty(docs), order).count() == 0
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_model_probabilities_sum_to_one(spark, docs, order):
+    model = kneserney.train(docs.where("doc_id IS NOT NULL"), order).open()
     words = np.concatenate([s for s in model.vocabulary.shards])
     unknown = np.array([12345], np.uint64)
     for first in (words[3], unknown[0]):
