@@ -4,12 +4,14 @@ pipeline, all against plain Python written from the queries' contracts."""
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sparkmart.llm import bpe, quality, queries, secrets
@@ -210,3 +212,60 @@ def test_pipeline_stages_keep_columns(spark):
         kept = stage(spark, table.limit(40), SF_DIR)
         assert kept.schema.names == table.schema.names
         assert stage(spark, table.where("false"), SF_DIR).count() == 0
+
+
+def test_op11(spark, docs):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    rows = sorted(queries.op11_packing(spark, SF_DIR).collect(), key=lambda r: (r.doc_id, r.start))
+    want = []
+    for d in sorted(docs, key=lambda d: d["doc_id"]):
+        ids = np.array([*tokenizer.encode(d["text"] or "", add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for n in [2048] * (len(ids) // 2048) + [1 << b for b in range(10, -1, -1) if len(ids) % 2048 >> b & 1]:
+            want.append((d["doc_id"], at, n, zlib.crc32(ids[at:at + n].tobytes()), len(ids), 0))
+            at += n
+    assert [(r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens, r.offset) for r in rows] == want
+    assert sorted(r.sequence_id for r in rows) == list(range(len(rows)))
+
+
+def test_op12(spark):
+    table = pq.read_table(f"{SF_DIR}/embeddings.parquet").to_pydict()
+    y = np.floor(1024 * np.array(table["embedding"], float)).astype(np.int64) + 100_000
+    n, s = len(y), y.sum(axis=0)
+    cov = np.cov(y.T, bias=True)
+    w, u = np.linalg.eigh(cov)
+    want = (y - s / n) @ u[:, ::-1][:, :8] / np.sqrt(w[::-1][:8])
+    rows = queries.op12_whitening(spark, SF_DIR).collect()
+    assert len(rows) == 8 * n and {r.n for r in rows} == {n} and all(0 <= r.identity_error <= 1e-9 for r in rows)
+    place = {i: k for k, i in enumerate(table["vec_id"])}
+    got = np.zeros((n, 8))
+    for r in rows:
+        got[place[r.vec_id], r.component - 1] = r.whitened
+        assert r.deviation == int(((n * y[place[r.vec_id]] - s) ** 2).sum())
+        assert r.explained == pytest.approx(w[-r.component] / np.trace(cov))
+    assert np.abs(got * np.sign((got * want).sum(axis=0)) - want).max() < 1e-8
+
+
+def test_op13(spark, docs):
+    """Against the definition over the whole table; DuckDB does it at larger ones."""
+    words = [(d["lang"] or "", d["source"] or "", re.findall("[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (d["text"] or "").translate(LOWER))) for d in docs]
+    f, want = lambda p, q: (p - q) ** 2 // (p + q), set()
+    for lang in {r[0] for r in words}:
+        mine = [r for r in words if r[0] == lang]
+        held = Counter(t for r in mine for t in set(r[2]))
+        kept = [t for t, n in held.items() if n >= 10]
+
+        def shares(rows):
+            c = Counter(t for r in rows for t in r[2])
+            total = sum(c[t] for t in kept) + 2 * len(kept)
+            return c, {t: 1 + 10 ** 9 * (c[t] + 2) // total for t in kept}
+        _, q = shares(mine)
+        of = {s: shares([r for r in mine if r[1] == s]) for s in {r[1] for r in mine}}
+        for s, (c, p) in of.items():
+            parts = {"pair": [(-sum(f(p[t], of[o][1][t]) for t in kept), o.encode()) for o in of if o != s],
+                     "term": [(-f(p[t], q[t]), t.encode()) for t in kept if c[t] and p[t] > q[t]]}
+            for part, ranked in parts.items():
+                want |= {(lang, s, part, item.decode(), -v, k + 1) for k, (v, item) in enumerate(sorted(ranked)) if part == "pair" or k < 10}
+    got = [(r.lang, r.source, r.part, r.item, r.value, r.rank) for r in queries.op13_divergence(spark, SF_DIR).collect()]
+    assert len(got) == len(want) > 100 and set(got) == want
