@@ -20,7 +20,7 @@ WHERE = {
     "K5": "sources/model_store.save_versioned, save_table_versioned (scaler)", "K6": "sources/model_store.load_latest, list_versions",
     "K7": "sources/model_store.control_record, write_control_file", "K8": "sources/writers.replace_table",
     "K9": "sources/writers.append_table", "K10": "sources/writers.external_table", "K11": "sources/writers.create_and_load",
-    "K12": "sources/writers.publish", "K13": "sources/writers.write_json_lines", "K14": "not built (object deletion)",
+    "K12": "sources/writers.publish", "K13": "sources/writers.write_json_lines", "K14": "sources/model_store.keep_versions (model versions only)",
     "P1": "operators/ingest.column_expr", "P2": "operators/ingest.column_expr (new_columns)",
     "P3": "functions/rules.apply_trims", "P4": "functions/rules.parse_temporal", "P5": "functions/rules.parse_temporal",
     "P6": "operators/ingest.column_expr (round)", "P7": "functions/rules.typed", "P8": "operators/ingest.enrich (select)",
@@ -65,19 +65,19 @@ WHERE = {
     "X13": "explode(array(struct)) in interpret / segment", "X14": "operators/basket (size)", "X15": "operators/pages.zip_reviews, page_paragraphs",
     "X16": "functions/columns.binarize", "X17": "operators/pages.parse_category_tree, plans/pages.event_props",
     "X18": "functions/rules.typed (try_cast)",
-    "M1": "operators/segment.robust_scale", "M2": "operators/profile.minmax_scale", "M3": "operators/segment.inertia_sweep",
+    "M1": "operators/segment.robust_scale", "M2": "operators/profile.minmax_scale", "M3": "operators/segment.lloyd, inertia_sweep",
     "M4": "operators/segment.find_optimal_k", "M5": "operators/segment.cluster", "M6": "operators/segment.silhouette, silhouette_per_sample",
-    "M7": "operators/interpret.holdout_split", "M8": "operators/interpret.train_interpreter", "M9": "operators/interpret.evaluate",
-    "M10": "operators/interpret.retrain_decision", "M11": "operators/interpret.permutation_importance",
+    "M7": "operators/interpret.holdout_split", "M8": "operators/boosting.grow, search; interpret.train_interpreter", "M9": "operators/interpret.evaluate",
+    "M10": "operators/interpret.retrain_decision", "M11": "operators/interpret.permutation_importance, partner",
     "M12": "operators/interpret.top_features", "M13": "operators/interpret.top_features, anomaly_exists",
     "M14": "operators/segment.segment_customers + interpret.interpret_clusters", "M15": "operators/interpret.surrogate_report, tree_rules",
-    "M16": "operators/interpret.surrogate_report (OneVsRest GBT)", "M17": "operators/interpret.permutation_importance(group_col=None)",
+    "M16": "operators/boosting.grow; interpret.class_report, surrogate_report", "M17": "operators/interpret.permutation_importance(group_col=None)",
     "M18": "not owed (inactive in the reference)", "M19": "operators/basket.frequent_itemsets", "M20": "operators/basket.association_rules",
     "M21": "operators/forecast.lag_cross_validation", "M22": "operators/forecast.sma_cross_validation",
-    "M23": "operators/forecast.random_search, fit_and_score", "M24": "operators/series.forecast_metrics, mean_baseline",
+    "M23": "operators/forecast.demand_features, random_search, fit_and_score; boosting.search", "M24": "operators/series.forecast_metrics, mean_baseline",
     "M25": "sources/model_store (Spark ML persistence)",
     "Q1": "config.parse_config", "Q2": "config._column", "Q3": "config.parse_config", "Q4": "config.validate_args",
-    "Q5": "config.validate_uri", "Q6": "operators/ingest.null_violations", "Q7": "logging in operators/ingest.run_ingestion",
+    "Q5": "config.validate_uri", "Q6": "operators/ingest.null_violations, checked, quarantine", "Q7": "operators/ingest.quarantine (observed counts), logging",
     "C1": "operators/pages.url_frontier", "C2": "operators/pages.page_records", "C3": "operators/pages.path_levels",
     "C4": "operators/pages.page_paragraphs, zip_reviews", "C5": "operators/pages.page_links",
 }
