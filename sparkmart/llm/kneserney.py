@@ -45,7 +45,7 @@ FOLDS, FOLD = 7, 2
 RUN_BYTES = 8 << 20                  # text handled at once
 HELD_KEYS = 4 << 20                  # distinct keys a task holds before it hands them on
 SHARD_TOKENS = 4 << 20
-ORDER = 3
+ORDER = 2
 END = np.uint64(0x5E0F_E2D5_0A11_C0DE)
 
 
@@ -443,22 +443,21 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
         """What grams of a length with counts ``n`` add to the totals of those one shorter, by
         their shards: as the last words, and as the history.  With it the numbers of grams by count."""
         base_ = base if length == 2 else np.concatenate(([0], np.cumsum(levels[length - 1])))
-        one = np.ones(len(keys), np.uint64)
-        zero = np.zeros(len(keys), np.uint64)
-        last, history = _suffixes(opened(length), length, keys, span), keys // span
-        classes = [(n == 1).astype(np.uint64), (n == 2).astype(np.uint64), (n >= 3).astype(np.uint64)]
-        both = merge(np.concatenate((last, history)), np.concatenate((one, zero)), np.concatenate((zero, n)),
-                     *[np.concatenate((zero, c)) for c in classes])
-        cuts = np.searchsorted(both[0], base_.astype(np.uint64))
         out: list[tuple[int, bytes]] = []
-        for i in range(len(base_) - 1):
-            a, z = cuts[i], cuts[i + 1]
-            if z > a:
-                out.append((i, pack(*[c[a:z] for c in both])))
-        if cuts[-1] < len(both[0]):                                # the start of texts, a history only
-            out.append((len(base_) - 1, pack(*[c[cuts[-1]:] for c in both])))
+
+        def hand_on(places: np.ndarray, columns: list[np.ndarray], before: int, after: int) -> None:
+            """Runs by shard of the merged places, with columns of zeros around theirs."""
+            places, *columns = merge(places, *columns)
+            cuts = np.append(np.searchsorted(places, base_.astype(np.uint64)), len(places))
+            for i, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):      # the last run: the start of texts, a history only
+                if z > a:
+                    zero = np.zeros(z - a, np.uint64)
+                    out.append((i, pack(places[a:z], *[zero] * before, *[c[a:z] for c in columns], *[zero] * after)))
+        # one after the other, so that only one set of columns is held
+        hand_on(_suffixes(opened(length), length, keys, span), [np.ones(len(keys), np.uint64)], 0, 4)
+        hand_on(keys // span, [n, *((n == k).astype(np.uint64) for k in (1, 2)), (n >= 3).astype(np.uint64)], 1, 0)
         if not out:
-            out.append((0, pack(*[c[:0] for c in both])))
+            out.append((0, pack(*[np.zeros(0, np.uint64)] * 6)))
         found = _count_classes(n)
         return pa.table({"shard": pa.array([i for i, _ in out], pa.int32()), "data": pa.array([d for _, d in out], pa.binary()),
                          **{f"n{j + 1}": pa.array([int(v)] + [0] * (len(out) - 1), pa.int64()) for j, v in enumerate(found)},
