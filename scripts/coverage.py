@@ -35,7 +35,7 @@ WHERE = {
     "F14": "operators/profile.drop_incomplete, operators/forecast.lag_frame",
     "N1": "operators/clean.clean_transactions", "N2": "operators/series.daily_series (coalesce 0)",
     "N3": "operators/rfm.recency_features (fallback to recency)", "N4": "operators/ingest.deduplicate",
-    "N5": "operators/profile.keep_first_last; rfm invoice owner", "N6": "operators/ingest.add_surrogate_key (sequence.dense_index)",
+    "N5": "operators/profile.keep_first_last; operators/rfm.owned_invoices", "N6": "operators/ingest.add_surrogate_key (sequence.dense_index)",
     "N7": "operators/profile.duplicate_rows", "N8": "operators/profile.row_counts",
     "J1": "operators/rfm.customer_profile", "J2": "operators/rfm.customer_profile", "J3": "operators/clean.repair_descriptions",
     "J4": "operators/series.daily_series (one conditional aggregate)", "J5": "operators/series.with_label_counts (inner join of the labels)",
@@ -60,18 +60,18 @@ WHERE = {
     "X1": "functions/rules.apply_trims", "X2": "operators/clean", "X3": "operators/profile.quality_probes",
     "X4": "operators/pages (URL_ID_PATTERN)", "X5": "operators/pages.path_levels", "X6": "operators/pages.slug",
     "X7": "functions/rules.parse_temporal, date_format", "X8": "year/month/dayofmonth/hour in ingest, series, reports",
-    "X9": "functions/columns.round_half_up, ratio_half_up", "X10": "operators/series.daily_series (abs)",
+    "X9": "functions/columns.round_half_up, ratio_half_up; operators/ingest.column_expr (round)", "X10": "operators/series.daily_series (abs)",
     "X11": "functions/columns.days_between", "X12": "operators/profile.quality_probes (startswith)",
     "X13": "explode(array(struct)) in interpret / segment", "X14": "operators/basket (size)", "X15": "operators/pages.zip_reviews, page_paragraphs",
     "X16": "functions/columns.binarize", "X17": "operators/pages.parse_category_tree, plans/pages.event_props",
     "X18": "functions/rules.typed (try_cast)",
     "M1": "operators/segment.robust_scale", "M2": "operators/profile.minmax_scale", "M3": "operators/segment.lloyd, inertia_sweep",
     "M4": "operators/segment.find_optimal_k", "M5": "operators/segment.cluster", "M6": "operators/segment.silhouette, silhouette_per_sample",
-    "M7": "operators/interpret.holdout_split", "M8": "operators/boosting.grow, search; interpret.train_interpreter", "M9": "operators/interpret.evaluate",
+    "M7": "operators/interpret.holdout_split", "M8": "operators/boosting.binned, grow, search, root_gains; operators/interpret.train_interpreter", "M9": "operators/interpret.evaluate",
     "M10": "operators/interpret.retrain_decision", "M11": "operators/interpret.permutation_importance, partner",
     "M12": "operators/interpret.top_features", "M13": "operators/interpret.top_features, anomaly_exists",
     "M14": "operators/segment.segment_customers + interpret.interpret_clusters", "M15": "operators/interpret.surrogate_report, tree_rules",
-    "M16": "operators/boosting.grow; interpret.class_report, surrogate_report", "M17": "operators/interpret.permutation_importance(group_col=None)",
+    "M16": "operators/boosting.grow, root_gains; operators/interpret.class_report, surrogate_report", "M17": "operators/interpret.permutation_importance(group_col=None)",
     "M18": "not owed (inactive in the reference)", "M19": "operators/basket.frequent_itemsets", "M20": "operators/basket.association_rules",
     "M21": "operators/forecast.lag_cross_validation", "M22": "operators/forecast.sma_cross_validation",
     "M23": "operators/forecast.demand_features, random_search, fit_and_score; boosting.search", "M24": "operators/series.forecast_metrics, mean_baseline",

@@ -65,7 +65,7 @@ def market_baskets(spark, sf_dir):
     return _baskets(spark, sf_dir)
 
 
-@register("frequent_itemsets", oracle=_FI_SQL, covers=("M19", "J8", "T5"))
+@register("frequent_itemsets", oracle=_FI_SQL, covers=("M19", "J8"))
 def frequent_itemsets(spark, sf_dir):
     return basket.frequent_itemsets(_baskets(spark, sf_dir), MIN_SUPPORT)
 

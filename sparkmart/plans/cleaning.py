@@ -40,7 +40,7 @@ _MODE_SQL = _CLEAN_CTES + "SELECT StockCode, Description FROM modes"
 
 
 @register("clean_transactions", oracle=_CLEAN_SQL,
-          covers=("N1", "P11", "P14", "X2", "A7", "J3", "P8"))
+          covers=("N1", "P11", "P14", "X2", "A7", "J3"))
 def clean_transactions(spark, sf_dir):
     """Raw invoice text → clean fact with description repair."""
     return clean.clean_transactions(raw_invoices(spark, sf_dir))

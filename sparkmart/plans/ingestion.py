@@ -94,7 +94,7 @@ def rejected_invoices(spark, sf_dir):
     return _quarantined(spark, sf_dir)[1].withColumn("reasons", F.array_join("reasons", ", "))
 
 
-@register("raw_invoices", oracle=_RAW_TEXT_SQL, covers=("X7",))
+@register("raw_invoices", oracle=_RAW_TEXT_SQL, covers=())
 def raw_invoice_text(spark, sf_dir):
     """The all-text bronze table (dates formatted M/d/yyyy H:mm, padded codes)."""
     return raw_invoices(spark, sf_dir)

@@ -114,7 +114,7 @@ def category_frontier(spark, sf_dir):
 
 @register("event_props", oracle="""
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
-       CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k_text FROM events""", covers=("X17", "S8"))
+       CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k_text FROM events""", covers=("X17",))
 def event_props(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return ev.select("event_id", "event_type", F.from_json("props", "k int")["k"].alias("k"),

@@ -68,6 +68,6 @@ def rfm_profile(spark, sf_dir):
     return rfm.customer_profile(transaction_fact(spark, sf_dir))
 
 
-@register("transaction_fact", oracle=with_fact(body="SELECT * FROM fact"), covers=("S4", "P11", "P8"))
+@register("transaction_fact", oracle=with_fact(body="SELECT * FROM fact"), covers=("S4",))
 def fact(spark, sf_dir):
     return transaction_fact(spark, sf_dir)
