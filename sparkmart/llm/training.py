@@ -34,54 +34,42 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, max_rows: int) -> DataFrame:
     """(doc_id, y, text) of the training rows; repeated labels of a document count
     once (the greatest), null ids and labels never.  Of the rows that repeat a
-    doc_id, those whose text has the least hash count, so only copies are left."""
+    doc_id, the one whose text has the least hash counts."""
     chosen = (labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y"))
               .where("doc_id IS NOT NULL AND y IS NOT NULL").where(~held_out(F.col("doc_id"), folds, fold))
               .groupBy("doc_id").agg(F.max("y").alias("y"))
               .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    # the hashes are shuffled, the texts are not: max_rows rows at most meet them
-    least = rows.drop("text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text_key").alias("text_key"))
-    return rows.join(F.broadcast(least), ["doc_id", "text_key"]).select("doc_id", "y", "text")
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y")
+            .agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")))
 
 
 def train(sample: DataFrame, terms: Terms, fit: Callable[[list[tuple[int, np.ndarray, np.ndarray]]], list[np.ndarray]],
           shards: int = SHARDS) -> list[np.ndarray] | None:
     """The mean of the shards' models (each a list of float arrays); None
     without labelled rows.  ``fit`` gets (label, distinct terms, their counts) of
-    a shard's documents in the order of their ids' hashes; copies of a row count
-    once.  Texts become terms where they are read; no text is shuffled."""
+    a shard's documents in the order of their ids' hashes."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, buf, offs in text_chunks(batch.column(3)):
+    def run(table: pa.Table) -> pa.Table:
+        rows = []
+        for batch in table.to_batches():
+            order, ys = batch.column("place").to_pylist(), batch.column("y").to_pylist()
+            for lo, hi, buf, offs in text_chunks(batch.column("text")):
                 row, index = terms(buf, offs)
                 cut = np.searchsorted(row, np.arange(hi - lo + 1))
-                found = [np.unique(index[cut[r]:cut[r + 1]], return_counts=True) for r in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(j).slice(lo, hi - lo) for j in range(3)),
-                     *(pa.array([f[j].astype(np.int32) for f in found], pa.list_(pa.int32())) for j in range(2))],
-                    names=["place", "y", "text_key", "terms", "counts"])
-
-    def run(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_pylist() for c in ("place", "y")]
-        lists = [table.column(c).combine_chunks() for c in ("terms", "counts")]
-        rows = [(place, y, *(np.asarray(x[i].values) for x in lists)) for i, (place, y) in enumerate(zip(*columns, strict=True))]
+                for r in range(hi - lo):
+                    rows.append((order[lo + r], ys[lo + r], *np.unique(index[cut[r]:cut[r + 1]], return_counts=True)))
         rows.sort(key=lambda x: (x[0], x[1], len(x[2])))
         model = [a.astype(np.float32).tobytes() for a in fit([x[1:] for x in rows])]
         return pa.table({"model": pa.array([model], pa.list_(pa.binary())), "n": pa.array([len(rows)], pa.int64())})
 
     # by a shard number, so that there are ``shards`` models however many partitions a shuffle has
     place = F.xxhash64("doc_id")
-    one = (sample.select(place.alias("place"), "y", F.xxhash64("text").alias("text_key"), "text")
-           .mapInArrow(hashed, "place bigint, y int, text_key bigint, terms array<int>, counts array<int>")
-           .groupBy("place", "y").agg(F.min_by(F.struct("terms", "counts"), "text_key").alias("t")))
-    models = (one.select(F.pmod("place", F.lit(shards)).alias("shard"), "place", "y", "t.terms", "t.counts")
+    models = (sample.select(F.pmod(place, F.lit(shards)).alias("shard"), place.alias("place"), "y", "text")
               .groupBy("shard").applyInArrow(run, "model array<binary>, n bigint").collect())
     if not models:
         return None
-    models.sort(key=lambda m: (m.n, m.model))
+    models.sort(key=lambda m: (m.n, m.model))       # sorting in Spark would fit the models twice
     weight = np.array([m.n for m in models], float) / sum(m.n for m in models)
     return [sum(w * np.frombuffer(m.model[i], np.float32).astype(float) for w, m in zip(weight, models, strict=True))
             for i in range(len(models[0].model))]
