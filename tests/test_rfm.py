@@ -105,3 +105,25 @@ def test_previous_rows_across_blocks(spark, monkeypatch):
             for lag in (1, 3):
                 j = i - lag
                 assert (r[f"i_lag{lag}"], r[f"v_lag{lag}"]) == ((j, j * j) if j >= first else (None, None))
+
+
+def test_profile_writes_no_table_of_lines(spark, monkeypatch):
+    """What is written is a row for each invoice and month; codes of invoices of several months,
+    null codes and null invoices count as before."""
+    import decimal as D
+    from sparkmart.operators import rfm
+    written = []
+
+    def kept(df):
+        written.append(df.count())
+        return df
+    monkeypatch.setattr(rfm, "reliable_checkpoint", kept)
+    later = dt.datetime(2024, 2, 3)
+    rows = [(1, code, "x", 1, d(3), 1.0, 1, "X", D.Decimal("1.50")) for code in "AABBCC"]
+    rows += [(2, code, "x", 1, when, 1.0, 1, "X", D.Decimal("2.00")) for code in ("A", "B", None) for when in (d(9), later)]
+    rows += [(None, "A", "x", 1, d(2), 1.0, 2, "X", D.Decimal("1.00")), (5, None, "x", 1, d(2), 1.0, 2, "X", D.Decimal("1.00"))]
+    got = {r.CustomerID: r for r in rfm.customer_profile(_fact(spark, rows)).collect()}
+    assert max(written) == 5
+    assert got[1].frequency == 2 and got[1].mean_unique_item == 2.5 and got[1].mean_quantity == 6.0
+    assert got[1].freq_per_month == 1.5 and got[1].mean_spent_per_month == round((15 / 9 + 2) / 2, 2)
+    assert got[2].mean_unique_item == 0.5 and got[2].freq_per_month == 1.0
