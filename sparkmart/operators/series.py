@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.columns import money
 from sparkmart.operators.profile import line_class
+from sparkmart.session import reliable_checkpoint
 
 DAY = "InvoiceDate"
 
@@ -189,13 +190,15 @@ def mean_baseline(series: DataFrame, col: str, compat: bool = False) -> DataFram
 def pivot_counts(df: DataFrame, label: str, prefix: str = "cluster_", distinct_on: str | None = "InvoiceNo") -> DataFrame:
     """Per day × label count of (distinct) invoices, pivoted to
     ``{prefix}{value}`` columns, 0 when absent.  The columns are the labels the
-    data holds, in order (they become the result's schema, so they are read
-    first); a NULL label is the column ``{prefix}none``."""
+    data holds, in order; a NULL label is the column ``{prefix}none``.  The lines
+    are read once: the counts by day and label, few whatever the lines, are a
+    written table that both the columns' names and their values come from."""
     day = F.to_date(DAY).alias(DAY)
     cnt = F.countDistinct(distinct_on) if distinct_on else F.count(F.lit(1))
     named = df.withColumn("_label", F.coalesce(F.col(label).cast("string"), F.lit("none")))
-    values = [r[0] for r in named.select(label, "_label").distinct().orderBy(label, "_label").select("_label").collect()]
-    p = named.groupBy(day).pivot("_label", values).agg(cnt)
+    counts = reliable_checkpoint(named.groupBy(day, "_label").agg(cnt.alias("_n"), F.min(label).alias("_first")))
+    values = [r[0] for r in counts.groupBy("_label").agg(F.min("_first").alias("_first")).orderBy("_first", "_label").select("_label").collect()]
+    p = counts.groupBy(DAY).pivot("_label", values).agg(F.sum("_n"))
     return p.select(DAY, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(f"{prefix}{v}") for v in values])
 
 

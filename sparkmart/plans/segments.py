@@ -14,10 +14,10 @@ from sparkmart.sources.tables import table, transaction_fact
 FEATS = segment.FEATURES
 
 
-def _profile(spark, sf_dir):
+def _profile(spark, sf_dir, fact=None):
     """The customer profile, written once: every query here reads it several
     times (quantile ranking, scaling, joins) and it is small next to the fact."""
-    return reliable_checkpoint(rfm.customer_profile(transaction_fact(spark, sf_dir)))
+    return reliable_checkpoint(rfm.customer_profile(transaction_fact(spark, sf_dir) if fact is None else fact))
 
 
 def _scaled_cte():
@@ -145,9 +145,9 @@ def customer_segments(spark, sf_dir):
     return out
 
 
-def labelled_customers(spark, sf_dir):
+def labelled_customers(spark, sf_dir, fact=None):
     """The profile with its k-means cluster, written once."""
-    return reliable_checkpoint(segment.segment_customers(_profile(spark, sf_dir), stored=True)[0])
+    return reliable_checkpoint(segment.segment_customers(_profile(spark, sf_dir, fact), stored=True)[0])
 
 
 @register("cluster_importance", covers=("M7", "M8", "M9", "M11", "M12", "M13"))

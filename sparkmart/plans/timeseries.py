@@ -245,11 +245,11 @@ seg AS (SELECT CAST(f.InvoiceDate AS DATE) AS d, """ + ", ".join(
 FROM daily LEFT JOIN seg ON daily.InvoiceDate = seg.d WINDOW w AS (ORDER BY InvoiceDate)""")
 
 
-def _demand_frame(spark, sf_dir, labels, label):
+def _demand_frame(spark, sf_dir, fact, labels, label):
     """The feature matrix with the invoices counted by their customers' label."""
     from sparkmart.operators import forecast
     from sparkmart.plans.stores import holiday_calendar
-    daily = series.with_label_counts(_daily(spark, sf_dir), transaction_fact(spark, sf_dir), labels, "CustomerID", label)
+    daily = series.with_label_counts(series.daily_series(fact), fact, labels, "CustomerID", label)
     return forecast.demand_features(series.add_holidays(daily, holiday_calendar(spark, sf_dir)))
 
 
@@ -258,14 +258,16 @@ def demand_matrix(spark, sf_dir):
     """The demand model's feature matrix, its counts by market segment (which SQL can tell)."""
     segment = F.array_position(F.array(*map(F.lit, SEGMENTS)), F.col("c_mktsegment")) - 1
     labels = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CustomerID"), segment.alias("label"))
-    return _demand_frame(spark, sf_dir, labels, "label").withColumn("total_sales_lag_sma7", F.round("total_sales_lag_sma7", 4))
+    return _demand_frame(spark, sf_dir, transaction_fact(spark, sf_dir), labels, "label").withColumn("total_sales_lag_sma7", F.round("total_sales_lag_sma7", 4))
 
 
 def _clustered_frame(spark, sf_dir):
-    """The feature matrix with counts by the k-means cluster of the customers."""
+    """The feature matrix with counts by the k-means cluster of the customers (J5).  The
+    profile, the daily series and the counts read one written fact: its joins run once."""
     from sparkmart.plans.segments import labelled_customers
     from sparkmart.session import reliable_checkpoint
-    return reliable_checkpoint(_demand_frame(spark, sf_dir, labelled_customers(spark, sf_dir), "cluster"))
+    fact = reliable_checkpoint(transaction_fact(spark, sf_dir).drop("Country"))
+    return reliable_checkpoint(_demand_frame(spark, sf_dir, fact, labelled_customers(spark, sf_dir, fact), "cluster"))
 
 
 @register("demand_search", covers=("M23", "J5", "W12"))
