@@ -11,6 +11,9 @@ when even its farthest points link, and split otherwise.
 
 Equal vectors are one point with a weight.  Tasks return link counts and a
 spanning forest of the links, never the pairs.
+
+Blocks are dealt to groups and exchanged once; the task of two groups reads both,
+so that the bytes on disk grow with the rows though the block pairs grow with their square.
 """
 
 from __future__ import annotations
@@ -22,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.session import reliable_checkpoint
+from sparkmart.session import reliable_checkpoint, run_scratch, shuffles_removed
 
 from .graph import components
 
 THRESHOLD = 0.9
 BLOCK_ROWS = 4096
 MOST_CELLS = 1024
+GROUP_BLOCKS = 8                     # blocks that a task reads of either side, more beyond MOST_GROUPS
+MOST_GROUPS = 256
 RADII = (0.25, 0.5, 1.0)             # of the nested levels, finest first; the root covers all
 SLACK = 1e-7                         # kept on distances so that rounding never prunes a link
 GATHER = 1 << 16                     # node pairs compared at once outside dense blocks
@@ -108,6 +113,7 @@ class Block:
     """A tree with its points: raw vectors, norms, class ids and weights, in leaf order."""
 
     def __init__(self, ids: np.ndarray, weights: np.ndarray, raw: np.ndarray):
+        self.kind = raw.dtype                          # packed as they came: floats widen exactly
         raw = raw.astype(float)
         norm = np.sqrt(np.einsum("ij,ij->i", raw, raw))
         tree = Tree(raw / norm[:, None])
@@ -127,7 +133,7 @@ class Block:
 
     def pack(self) -> bytes:
         sink = pa.BufferOutputStream()
-        arrays = [self.ids, self.weights, self.raw.reshape(-1), *(getattr(self, n) for n in _NODE_ARRAYS)]
+        arrays = [self.ids, self.weights, self.raw.reshape(-1).astype(self.kind), *(getattr(self, n) for n in _NODE_ARRAYS)]
         with pa.ipc.new_stream(sink, pa.schema([(f"a{i}", pa.list_(pa.from_numpy_dtype(a.dtype))) for i, a in enumerate(arrays)])) as out:
             out.write_batch(pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a)) for a in arrays],
@@ -140,7 +146,7 @@ class Block:
         arrays = [c.values.to_numpy() for c in row.columns]
         block = cls.__new__(cls)
         block.ids, block.weights = arrays[0], arrays[1]
-        block.raw = arrays[2].reshape(len(block.ids), -1)
+        block.kind, block.raw = arrays[2].dtype, arrays[2].reshape(len(block.ids), -1).astype(float)
         for name, a in zip(_NODE_ARRAYS, arrays[3:], strict=True):
             setattr(block, name, a)
         block.root = len(block.centre) - 1
@@ -328,7 +334,13 @@ def _block_pairs(cells: DataFrame, centres: np.ndarray, reach: float) -> DataFra
 
 
 def _links(points: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """(id, links, other) of the points (id, embedding, weight) of one dimension."""
+    """(id, links, other) of the points (id, embedding, weight) of one dimension.  Its cells and
+    blocks are removed when the links are written."""
+    with run_scratch(points.sparkSession):
+        return reliable_checkpoint(_block_links(points, threshold, block_rows), outlive=True)
+
+
+def _block_links(points: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     n = points.count()
     wanted = min(MOST_CELLS, -(-n // block_rows))
@@ -346,24 +358,23 @@ def _links(points: DataFrame, threshold: float, block_rows: int) -> DataFrame:
         return pa.table({"cell": table.column("cell")[:1], "part": table.column("part")[:1], "data": pa.array([block.pack()], pa.binary())})
 
     blocks = reliable_checkpoint(dealt.groupBy("cell", "part").applyInArrow(build, "cell int, part int, data binary"))
-    names = blocks.select("cell", "part")
-    pairs = (_block_pairs(cells, centres, reach)
-             .join(names.withColumnsRenamed({"cell": "low", "part": "low_part"}), "low")
-             .join(names.withColumnsRenamed({"cell": "high", "part": "high_part"}), "high")
-             .where("low < high OR low_part <= high_part"))
-    pairs = reliable_checkpoint(pairs.withColumn("pair", F.monotonically_increasing_id()))
-    sides = pairs.select("pair", F.inline(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("low").alias("cell"), F.col("low_part").alias("part")),
-        F.struct(F.lit(1).alias("side"), F.col("high").alias("cell"), F.col("high_part").alias("part")))))
-
-    def solve(table: pa.Table) -> pa.Table:
-        data = table.sort_by("side").column("data").to_pylist()
-        a = Block.unpack(data[0])
-        b = a if len(data) == 1 or data[0] == data[1] else Block.unpack(data[1])
-        return Traversal(a, b, threshold).run().result()
-
-    return reliable_checkpoint(sides.join(blocks, ["cell", "part"]).groupBy("pair")
-                               .applyInArrow(solve, "id bigint, links bigint, other bigint"))
+    partners = _block_pairs(cells, centres, reach).groupBy("low").agg(F.collect_set("high").alias("partners"))   # MOST_CELLS rows at most
+    dealt_blocks = blocks.repartition(min(MOST_GROUPS, -(-blocks.count() // GROUP_BLOCKS)))
+    low = dealt_blocks.join(F.broadcast(partners), F.col("cell") == F.col("low")).select("partners", "low", F.col("part").alias("low_part"), F.col("data").alias("a"))
+    high = dealt_blocks.select(F.col("cell").alias("high"), F.col("part").alias("high_part"), F.col("data").alias("b"))
+    # every task reads one group of either side from the one exchange
+    pairs = low.join(high.hint("shuffle_replicate_nl"), F.expr("array_contains(partners, high) AND (low < high OR low_part <= high_part)"))
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, a = None, None
+        for batch in batches:
+            for at, (c, p, d, q) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)):
+                if key != (c, p):                      # successive rows share it
+                    key, a = (c, p), Block.unpack(batch.column(4)[at].as_buffer())
+                b = a if key == (d, q) else Block.unpack(batch.column(5)[at].as_buffer())
+                yield from Traversal(a, b, threshold).run().result().to_batches()
+
+    return pairs.select("low", "low_part", "high", "high_part", "a", "b").mapInArrow(solve, "id bigint, links bigint, other bigint")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -380,25 +391,26 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block_rows
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = F.coalesce(F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x * x.cast("double") > 0), F.lit(False))
     rows = rows.withColumn("valid", valid)
-    points = reliable_checkpoint(
-        rows.where("valid").groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
-        .withColumn("id", F.monotonically_increasing_id()))
-    dims = [r[0] for r in points.select(F.size("embedding")).distinct().collect()]
-    found = [_links(points.where(F.size("embedding") == d).select("id", "embedding", "weight"), threshold, block_rows) for d in dims]
     alone = rows.where(~F.col("valid")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if not found:
-        return _kept(alone)
-    links = found[0]
-    for f in found[1:]:
-        links = links.unionByName(f)
-    counts = links.groupBy("id").agg(F.sum("links").alias("links"))
-    named = components(links.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    of = (points.join(counts, "id", "left").join(named, points["id"] == named["node"], "left")
-          .select("embedding", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-                  F.coalesce("component", "id").alias("component")))
-    least = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = reliable_checkpoint(of.join(least, "component").select("embedding", "n_links", "component_id"))
-    linked = rows.where("valid").join(of, "embedding").select("vec_id", "n_links", "component_id")
+    with shuffles_removed(vectors.sparkSession):
+        points = reliable_checkpoint(
+            rows.where("valid").groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
+            .withColumn("id", F.monotonically_increasing_id()))
+        dims = [r[0] for r in points.select(F.size("embedding")).distinct().collect()]
+        found = [_links(points.where(F.size("embedding") == d).select("id", "embedding", "weight"), threshold, block_rows) for d in dims]
+        if not found:
+            return _kept(alone)
+        links = found[0]
+        for f in found[1:]:
+            links = links.unionByName(f)
+        counts = links.groupBy("id").agg(F.sum("links").alias("links"))
+        named = components(links.select(F.col("id").alias("a"), F.col("other").alias("b")))
+        of = (points.select("id", "least", "weight").join(counts, "id", "left").join(named, F.col("id") == F.col("node"), "left")
+              .select("id", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+                      F.coalesce("component", "id").alias("component")))
+        least = of.groupBy("component").agg(F.min("least").alias("component_id"))
+        of = reliable_checkpoint(of.join(least, "component").select("id", "n_links", "component_id"))
+    linked = rows.where("valid").join(points.select("embedding", "id"), "embedding").join(of, "id").select("vec_id", "n_links", "component_id")
     return _kept(linked.unionByName(alone))
 
 

@@ -88,7 +88,23 @@ def run_scratch(spark: SparkSession):
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Shuffle files of a job started inside this block are removed as it ends.  Otherwise they
+    stay until the driver happens to collect its garbage, so that the disk holds those of all jobs
+    of a run at once.  For blocks whose jobs write what is read again."""
+    before = spark.conf.get(_SHUFFLE_CLEANUP, "false")
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before)
+
+
+def reliable_checkpoint(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint
     folder and reading it back.
 
@@ -96,9 +112,10 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     once to count and again to save, and stores Java-serialised rows) this
     computes the plan once and stores it columnar.  The folder is the one the
     cluster names in ``spark.checkpoint.dir``, so the table survives the loss
-    of any executor."""
+    of any executor.  ``outlive``: it stays when the innermost run's folder goes."""
     spark = df.sparkSession
-    root = _RUNS[-1] if _RUNS else ensure_checkpoint_dir(spark).rstrip("/")
+    runs = _RUNS[:-1] if outlive else _RUNS
+    root = runs[-1] if runs else ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/sparkmart-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -5,6 +5,7 @@ import random
 import re
 import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import (bpe, chat, covertree, decontaminate, divergence, graph, kernels, kneserney, packing, quality, secrets, simhash,
                            toxicity, training, trigrams, urlfilter, whitening)
+from sparkmart.session import ensure_checkpoint_dir
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -502,6 +504,33 @@ def test_cover_tree(spark, block_rows):
     assert covertree.near_duplicates(_empty(df)).count() == 0
 
 
+def test_cover_tree_blocks_are_exchanged_once(spark, monkeypatch, tmp_path):
+    """Shuffled bytes grow with the rows, not with the block pairs; cells, blocks and shuffles do not stay."""
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1200, 8)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    plans, real = [], covertree.reliable_checkpoint
+
+    def seen(table, **how):
+        plans.append(table._jdf.queryExecution().executedPlan().toString())
+        return real(table, **how)
+    monkeypatch.setattr(covertree, "reliable_checkpoint", seen)
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before, setting = set(folder.glob("run-*")), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    found = covertree.near_duplicates(df, block_rows=32)
+    links, = (p for p in plans if "low_part" in p)
+    assert "CartesianProduct" in links and "FlatMapGroups" not in links
+    assert set(folder.glob("run-*")) == before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    assert {r.vec_id: r.n_links for r in found.collect()} == dict(enumerate(((x @ x.T >= 0.9).sum(axis=1) - 1).tolist()))
+    raw = rng.normal(size=(300, 64)).astype(np.float32)
+    block = covertree.Block(np.arange(300), np.ones(300, np.int64), raw)
+    assert len(block.pack()) < raw.nbytes + 40_000                     # floats stay floats
+    assert (covertree.Block.unpack(block.pack()).unit == block.unit).all()
+
+
 def test_language_model(spark, docs):
     out = {r.doc_id: r for r in kneserney.score_documents(docs.where("doc_id IS NOT NULL AND NOT (doc_id = 5 AND gram = 'again')")).collect()}
     tokens = {i: TOKEN.findall((t or "").translate(LOWER)) + ["</end>"] for i, t in enumerate(TEXTS)}
