@@ -76,9 +76,9 @@ def deduplicate(df: DataFrame, keys: list[str]) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
-def add_surrogate_key(df: DataFrame, order_cols: list[str], name: str = "_kde_id") -> DataFrame:
+def add_surrogate_key(df: DataFrame, order_cols: list[str], name: str = "_kde_id", exchanged: bool = False) -> DataFrame:
     """Dense 1..n key in ``order_cols`` order, without a single-partition exchange."""
-    return dense_index(df, order_cols or df.columns, idx_col=name, start=1)
+    return dense_index(df, order_cols or df.columns, idx_col=name, start=1, exchanged=exchanged)
 
 
 def partition_columns(df: DataFrame, cfg: TableConfig) -> DataFrame:
@@ -92,7 +92,7 @@ def partition_columns(df: DataFrame, cfg: TableConfig) -> DataFrame:
 
 def enrich(typed_df: DataFrame, cfg: TableConfig, dt: str) -> DataFrame:
     df = deduplicate(typed_df, list(cfg.primary_key))
-    df = add_surrogate_key(df, list(cfg.primary_key))
+    df = add_surrogate_key(df, list(cfg.primary_key), exchanged=bool(cfg.primary_key))
     df = df.withColumn("_ingestion_date", F.lit(dt).cast("date"))  # P9
     df = partition_columns(df, cfg)
     targets = [c.target for c in cfg.all_columns]

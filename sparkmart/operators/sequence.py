@@ -28,19 +28,21 @@ BLOCK = 1 << 12                          # successive indexes that one window lo
 
 
 def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = IDX,
-                start: int = 0, num_partitions: int | None = None) -> DataFrame:
+                start: int = 0, num_partitions: int | None = None, exchanged: bool = False) -> DataFrame:
     """Attach a consecutive index (``start``, ``start+1``, ...) in the order of
     ``order_cols`` (which must be a total order for a reproducible result).
 
     No single-partition exchange: the order is realised by a range exchange
     with an explicit partition count (so AQE keeps partition ids stable) and
-    the counts table has one row per partition.
+    the counts table has one row per partition.  ``exchanged``: ``df`` ends in
+    an aggregate or the like, so that its lineage up to there is kept as shuffle files.
     """
     n = num_partitions or shuffle_partitions(df.sparkSession)
     # the range exchange first runs a sampling job over its input and then
     # the exchange itself: keep the input for those two passes only, so its
-    # lineage is computed once; the written result no longer needs it
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # lineage is computed once; the written result no longer needs it.  Of an
+    # exchanged input both passes read the one exchange, and a copy is only more disk
+    src = df if exchanged else df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ranged = (src.repartitionByRange(n, *order_cols)
                      .sortWithinPartitions(*order_cols)
@@ -48,7 +50,8 @@ def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = IDX,
                      .withColumn("_pos", F.monotonically_increasing_id()))
         ranged = reliable_checkpoint(ranged)
     finally:
-        src.unpersist()
+        if not exchanged:
+            src.unpersist()
     # position inside the partition = id minus the partition's id base
     ranged = ranged.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

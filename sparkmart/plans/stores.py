@@ -14,7 +14,7 @@ from sparkmart.operators import ingest, interpret, pages, profile, series
 from sparkmart.plans.ingestion import _COLUMNS, _DEDUP_CTE, _PK, _TYPED_SQL, DT
 from sparkmart.plans.registry import register
 from sparkmart.plans.sqltext import with_fact
-from sparkmart.session import ensure_checkpoint_dir
+from sparkmart.session import ensure_checkpoint_dir, remove_folder, shuffles_removed
 from sparkmart.sources import readers, writers
 from sparkmart.sources.bronze import INVOICE_CONFIG, RAW_SQL, raw_invoices
 from sparkmart.sources.tables import register_views, table, transaction_fact, union_all
@@ -22,6 +22,7 @@ from sparkmart.sources.tables import register_views, table, transaction_fact, un
 LATER = "2024-11-10"
 RELOADED_YEAR = 1997
 ORDER_DAY = "1998-10-03"
+ZIPPED_ROWS = 1 << 20                # lines of a gzip file, which one task reads whole
 # Text files must not lose the padding that the raw codes carry.
 KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -51,12 +52,14 @@ def silver_from_csv(spark, sf_dir):
     the configured extra columns; one year is loaded again a day later, which
     replaces its partitions and no others."""
     cfg = parse_config(INVOICE_CONFIG)
-    raw = _staged_csv(spark, raw_invoices(spark, sf_dir), "raw")
-    out = ingest.silver(ingest.read_raw(spark, cfg, raw, "csv"), cfg, DT)      # the key's index has written its rows
-    store, parts = _folder(spark, "silver"), ["ptn_yyyy", *cfg.extra_partition_columns]
-    writers.write_partitioned(out, store, parts)
-    again = out.where(F.col("ptn_yyyy") == RELOADED_YEAR).withColumn("_ingestion_date", F.lit(LATER).cast("date"))
-    writers.write_partitioned(again, store, parts)
+    with shuffles_removed(spark):
+        raw = _staged_csv(spark, raw_invoices(spark, sf_dir), "raw", compression="gzip", maxRecordsPerFile=ZIPPED_ROWS)
+        out = ingest.silver(ingest.read_raw(spark, cfg, raw, "csv"), cfg, DT)      # the key's index has written its rows
+        remove_folder(spark, raw)
+        store, parts = _folder(spark, "silver"), ["ptn_yyyy", *cfg.extra_partition_columns]
+        writers.write_partitioned(out, store, parts)
+        again = out.where(F.col("ptn_yyyy") == RELOADED_YEAR).withColumn("_ingestion_date", F.lit(LATER).cast("date"))
+        writers.write_partitioned(again, store, parts)
     return spark.read.parquet(store).select(*out.columns)
 
 

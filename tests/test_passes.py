@@ -3,9 +3,10 @@
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators import series
+from sparkmart.operators import ingest, series
 from sparkmart.plans import registry, segments, timeseries
 from sparkmart.session import BATCH_BYTES, ensure_checkpoint_dir, small_batches
 from tests.conftest import SF001
@@ -51,6 +52,22 @@ def test_silver_rows_are_written_once_before_the_store(spark):
     assert len(set(folder.glob("sparkmart-*")) - before) == 1
 
 
+def test_the_raw_file_and_the_shuffles_of_silver_rows_do_not_stay(spark):
+    folder, setting = Path(ensure_checkpoint_dir(spark).removeprefix("file:")), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, raw = spark.conf.get(setting), set(folder.glob("raw-*"))
+    found = registry.queries()["silver_from_csv"](spark, SF001)
+    assert set(folder.glob("raw-*")) == raw and spark.conf.get(setting) == before
+    assert found.count()                                               # the store does not need it
+
+
+def test_an_exchanged_input_is_indexed_without_a_copy(spark, monkeypatch):
+    kept, real = [], DataFrame.persist
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: (kept.append(1), real(self, *a))[1])
+    rows = spark.range(500).groupBy((F.col("id") % 100).alias("k")).agg(F.count("*").alias("n"))
+    got = ingest.add_surrogate_key(rows, ["k"], exchanged=True).orderBy("k").collect()
+    assert [r._kde_id for r in got] == list(range(1, 101)) and not kept
+
+
 def test_python_tasks_of_the_pipeline_get_small_batches(spark):
     import corpus_pipeline
     before = spark.conf.get(_CONF)
